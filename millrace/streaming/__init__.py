@@ -1,0 +1,6 @@
+"""No streaming operators: every input of the rebuilt work is a bounded file.
+
+The row-wise operators (renames, sentinels, casts, labels, class names, parsing, chat records and
+scoring with a fitted pipeline) are plain projections, so they also accept a streaming DataFrame.
+``tests/test_streaming.py`` checks that.
+"""
