@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.util import DefaultParamsReader, MLReadable
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,9 +31,4 @@ def load_model(path: str, model_class: type[MLReadable] | None = None):
     """Load a fitted model. The class is read from the files when it is not given."""
     if model_class is not None:
         return model_class.load(path)
-    spark = SparkSession.active()
-    metadata = DefaultParamsReader.loadMetadata(path, spark)
-    java_name = metadata["class"]
-    if java_name.endswith("PipelineModel"):
-        return PipelineModel.load(path)
-    return DefaultParamsReader.loadParamsInstance(path, spark)
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.active())
