@@ -10,7 +10,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.rank import DEFAULT_BUCKETS, bucketizer, running_totals
+from millrace.operators.rank import bucketizer, running_totals
 
 MACRO, WEIGHTED, ACCURACY = "macro avg", "weighted avg", "accuracy"
 
@@ -94,8 +94,8 @@ def report_lines(report: DataFrame, digits: int = 2) -> DataFrame:
         position = F.when(F.col("name") == name, F.lit(at)).otherwise(position)
 
     def number(c: str) -> Column:
-        shown = F.format_string(f"%.{digits}f", F.col(c))
-        return F.lpad(F.coalesce(shown, F.lit("")), 10, " ")
+        shown = F.when(F.col(c).isNotNull(), F.format_string(f"%.{digits}f", F.col(c))).otherwise("")
+        return F.lpad(shown, 10, " ")
 
     line = F.concat(
         F.lpad("name", 14, " "),
@@ -133,7 +133,7 @@ def mse(pred: DataFrame, label: str = "label", prediction: str = "prediction") -
 # ---- curves ------------------------------------------------------------------------------------
 
 
-def _score_totals(pred: DataFrame, score: str, label: str, buckets: int) -> DataFrame:
+def _score_totals(pred: DataFrame, score: str, label: str, buckets: int | None) -> DataFrame:
     """One row per distinct score with running totals from the highest score down."""
     positive = F.col(label).cast("double") == 1.0
     rows = pred.select(F.col(score).cast("double").alias("score"), positive.alias("_p"))
@@ -150,7 +150,7 @@ def roc_curve(
     score: str = "score",
     label: str = "label",
     drop_collinear: bool = True,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``fpr, tpr, threshold`` with a row per distinct score and a first point (0, 0, Infinity).
 
@@ -174,7 +174,7 @@ def roc_curve(
 
 
 def roc_auc(
-    pred: DataFrame, score: str = "score", label: str = "label", buckets: int = DEFAULT_BUCKETS
+    pred: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None
 ) -> DataFrame:
     """Exact area under the ROC curve (tied scores count half); NULL with a single class."""
     totals = _score_totals(pred, score, label, buckets)

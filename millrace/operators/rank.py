@@ -19,14 +19,20 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
+BUCKETS_PER_SHUFFLE_PARTITION = 8
 HASH_DIGITS = 32
 RADIX_DIGITS = 4
 SMALL_BUCKET = 1_000_000
 
 
-def bucketizer(df: DataFrame, column: str, buckets: int = DEFAULT_BUCKETS) -> Bucketizer:
-    """Bucket edges at approximate quantiles of a double column (one pass, sketches only)."""
+def bucketizer(df: DataFrame, column: str, buckets: int | None = None) -> Bucketizer:
+    """Bucket edges at approximate quantiles of a double column (one pass, sketches only).
+
+    The default number of buckets follows the session's shuffle partitions, so it grows with them.
+    """
+    if buckets is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = BUCKETS_PER_SHUFFLE_PARTITION * partitions
     probabilities = [i / buckets for i in range(1, buckets)]
     found = df.approxQuantile(column, probabilities, 1 / (2 * buckets)) if probabilities else []
     edges = sorted(set(found)) or [0.0]
@@ -88,7 +94,7 @@ def exact_quantiles(
     column: str,
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: ``*by, n, quantiles array<double>``.
 

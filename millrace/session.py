@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", app: str = "millrace", **conf: str) ->
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
