@@ -65,12 +65,13 @@ HEADLINE = [
 ]
 
 
-def _cross_validation(estimator, values: dict):
+def _cross_validation(make_estimator, values: dict):
     """A full grid with five folds on 70 % of the training table (150,000 x SF/0.1 rows before)."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         parts = split.split_exact(prepared_orders(spark, sf), "o_orderkey", train=0.7, seed=SEED)
         train = parts.filter("split = 'train'")
+        estimator = make_estimator()
         points = tune.grid(estimator, values)
         return tune.cross_validate(estimator, points, train, "o_orderkey", k=5, seed=SEED, parallelism=CPUS).table
 
@@ -91,12 +92,12 @@ def _search(spark: SparkSession, sf: str) -> DataFrame:
 
 # The grids of the published examples.
 TUNING = {
-    "tree_cv_12x5": _cross_validation(models.tree(), {"maxDepth": [1, 2, 6, 10], "maxBins": [20, 40, 80]}),
+    "tree_cv_12x5": _cross_validation(models.tree, {"maxDepth": [1, 2, 6, 10], "maxBins": [20, 40, 80]}),
     "forest_cv_12x5": _cross_validation(
-        models.forest(), {"maxDepth": [2, 4, 6], "maxBins": [20, 60], "numTrees": [5, 20]}
+        models.forest, {"maxDepth": [2, 4, 6], "maxBins": [20, 60], "numTrees": [5, 20]}
     ),
     "logistic_cv_27x5": _cross_validation(
-        models.logistic(), {"regParam": [0.01, 0.5, 2.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [1, 5, 10]}
+        models.logistic, {"regParam": [0.01, 0.5, 2.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [1, 5, 10]}
     ),
     "sampled_search_8": _search,
 }

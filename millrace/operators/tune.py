@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.tuning import ParamGridBuilder
@@ -22,8 +22,9 @@ from millrace.operators.evaluate import evaluate_binary
 from millrace.operators.models import spark_params
 from millrace.operators.runs import log_run, new_run_id
 from millrace.operators.split import assign_folds
+from millrace.session import persisted
 
-ROWS_PER_PARTITION = 20_000
+ROWS_PER_TASK = 250_000
 
 
 def grid(estimator: Estimator, values: Mapping[str, Sequence]) -> list[dict]:
@@ -53,15 +54,14 @@ def _in_threads(spark: SparkSession, tasks: Sequence[Callable], parallelism: int
         pool.close()
 
 
-def _persisted(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The persisted table, and a view of it without needlessly small partitions.
+def _few_partitions(kept: DataFrame, parallelism: int) -> DataFrame:
+    """A kept table cut into as many tasks as one of several concurrent fits can use.
 
-    Small tables get few tasks per fit, so that concurrent fits fill the cores; large tables keep
-    their partitions, because ``coalesce`` never adds any.
+    The cores are shared by the concurrent fits, so a small table needs few tasks per fit; a large
+    table keeps its partitions, because ``coalesce`` never adds any.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    partitions = max(1, math.ceil(kept.count() / ROWS_PER_PARTITION))
-    return kept, kept.coalesce(partitions)
+    share = kept.sparkSession.sparkContext.defaultParallelism // max(1, parallelism)
+    return kept.coalesce(max(1, share, math.ceil(kept.count() / ROWS_PER_TASK)))
 
 
 @dataclass(frozen=True)
@@ -93,8 +93,8 @@ def cross_validate(
     """
     evaluator = BinaryClassificationEvaluator() if evaluator is None else evaluator
     folded = assign_folds(df, key, k, seed, stratify, column="_fold").select("label", "features", "_fold")
-    kept, data = _persisted(folded)
-    try:
+    with persisted(folded) as kept:
+        data = _few_partitions(kept, parallelism)
 
         def trial(point: int, fold: int) -> Callable:
             def run() -> float:
@@ -109,8 +109,6 @@ def cross_validate(
         pick = max if evaluator.isLargerBetter() else min
         best = means.index(pick(means))
         best_model = estimator.fit(data, dict(param_maps[best]))
-    finally:
-        kept.unpersist()
     rows = [(point, _as_text(param_maps[point]), fold, float(m)) for (point, fold), m in zip(places, metrics)]
     table = df.sparkSession.createDataFrame(rows, "point int, params map<string,string>, fold int, metric double")
     return CrossValidation(best_model, best, _as_text(param_maps[best]), means, table)
@@ -188,9 +186,11 @@ def sampled_search(
     """
     spark = train.sparkSession
     drawn = [(r["trial"], dict(r["params"])) for r in draw_space(spark, space, max_evals, seed).collect()]
-    kept_train, fit_rows = _persisted(train.select("label", "features"))
-    kept_test, test_rows = _persisted(test.select("label", "features"))
-    try:
+    with (
+        persisted(train.select("label", "features")) as kept_train,
+        persisted(test.select("label", "features")) as kept_test,
+    ):
+        fit_rows, test_rows = (_few_partitions(t, parallelism) for t in (kept_train, kept_test))
 
         def trial(number: int, params: dict[str, float]) -> Callable:
             def run() -> tuple[int, dict, float, Model]:
@@ -208,9 +208,6 @@ def sampled_search(
             return run
 
         done = _in_threads(spark, [trial(n, p) for n, p in drawn], parallelism)
-    finally:
-        kept_train.unpersist()
-        kept_test.unpersist()
     _, best_params, best_auc, best_model = max(done, key=lambda t: (t[2], -t[0]))
     rows = [(n, p, float(auc), -float(auc)) for n, p, auc, _ in done]
     table = spark.createDataFrame(rows, "trial int, params map<string,double>, auc double, loss double")

@@ -22,7 +22,7 @@ from millrace.plans.data import (
 )
 from millrace.plans.registry import query, rounded
 from millrace.plans.splitting import SEED
-from millrace.session import scratch_path
+from millrace.session import persisted, scratch_path, spread
 from millrace.sources import load_model, register, save_model, sql, table
 
 ALL_CATEGORIES_APART = 12  # depth that isolates 3 x 5 one-hot categories
@@ -48,23 +48,26 @@ def _train_test(prepared):
 
 def _held_out(spark, sf, fit, **params):
     """Fit on 70 %, report class metrics and the exact area under the curve on the rest."""
-    train, test = _train_test(prepared_orders(spark, sf))
-    pred = models.predict(fit(train, **params), test)
-    scored = pred.select("label", "prediction", positive_score().alias("score"))
-    auc = evaluate.roc_auc(scored).first()["roc_auc"]
-    metrics = evaluate.class_metrics(scored).withColumn("roc_auc", F.lit(auc))
-    return rounded(metrics, "accuracy", "f1", "roc_auc")
+    with persisted(prepared_orders(spark, sf)) as prepared:
+        train, test = _train_test(prepared)
+        pred = models.predict(fit(train, **params), test)
+        with persisted(pred.select("label", "prediction", positive_score().alias("score"))) as scored:
+            metrics = evaluate.class_metrics(scored).first()
+            auc = evaluate.roc_auc(scored).first()["roc_auc"]
+    row = [(metrics["accuracy"], metrics["f1"], auc)]
+    return rounded(spark.createDataFrame(row, "accuracy double, f1 double, roc_auc double"), "accuracy", "f1", "roc_auc")
 
 
 def flagship(spark, sf):
     """Price class of order lines: label, encode, split, fit, score, then a SQL count."""
-    lines = table(spark, sf, "lineitem")
+    lines = spread(table(spark, sf, "lineitem"))
     key = lines.columns
     labelled = lines.withColumn("label", (F.col("l_extendedprice") >= 50000).cast("double"))
     pipeline = features.feature_pipeline(["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax"])
     prepared = features.prepare(labelled, pipeline, key)
-    parts = split.split_exact(prepared, key, train=0.7, seed=SEED)
-    model = models.fit_logistic(parts.filter("split = 'train'"), maxIter=10)
+    with persisted(prepared) as kept:
+        parts = split.split_exact(kept, key, train=0.7, seed=SEED)
+        model = models.fit_logistic(parts.filter("split = 'train'"), maxIter=10)
     scored = models.predict(model, prepared, ["l_returnflag", "prediction"])
     register(scored, "millrace_scored")
     return sql(
@@ -220,13 +223,15 @@ def param_table(spark, sf):
 @query("reload_equal", "SELECT 0::BIGINT AS differences, count(*) AS n FROM orders")
 def reload_equal(spark, sf):
     """Predictions of a saved and reloaded model against the original, both ways round."""
-    prepared = prepared_orders(spark, sf)
-    model = models.fit_forest(prepared, n_estimators=5, random_state=SEED)
-    again = load_model(save_model(model, scratch_path(spark, "model")))
-
-    def answers(m):
-        return models.predict(m, prepared).select("o_orderkey", "prediction", vector_to_array("probability").alias("p"))
-
-    old, new = answers(model), answers(again)
-    changed = old.exceptAll(new).unionAll(new.exceptAll(old)).agg(F.count(F.lit(1)).alias("differences"))
-    return old.agg(F.count(F.lit(1)).alias("n")).withColumn("differences", changed.scalar())
+    with persisted(prepared_orders(spark, sf)) as prepared:
+        model = models.fit_forest(prepared, n_estimators=5, random_state=SEED)
+        again = load_model(save_model(model, scratch_path(spark, "model")))
+
+        def answers(m):
+            probability = vector_to_array("probability").alias("p")
+            return models.predict(m, prepared).select("o_orderkey", "prediction", probability)
+
+        old, new = answers(model), answers(again)
+        n = old.count()
+        differences = old.exceptAll(new).unionAll(new.exceptAll(old)).count()
+    return spark.createDataFrame([(differences, n)], "differences long, n long")

@@ -1,11 +1,14 @@
-"""Session defaults for local work, and the shared folder for written tables."""
+"""Session defaults for local work, the shared folder for written tables, and kept tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -50,3 +53,23 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/millrace-{uuid.uuid4().hex[:12]}/{name}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a freshly read table that has fewer partitions than the session has cores.
+
+    One small file is one task otherwise. Tables with enough partitions stay as they are, so large
+    inputs are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+@contextmanager
+def persisted(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a table for the steps inside the block, on disk where memory is short."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
