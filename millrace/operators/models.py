@@ -67,7 +67,12 @@ def forest(**params) -> RandomForestClassifier:
 
 
 def gbt(**params) -> GBTClassifier:
-    """Boosted trees; 100 trees of depth 3 at rate 0.1 and seed 0 unless told otherwise."""
+    """Boosted trees; 100 trees of depth 3 at rate 0.1 and seed 0 unless told otherwise.
+
+    Boosting adds a step of lineage per tree. With a checkpoint folder set, Spark cuts it every
+    ``checkpointInterval`` trees.
+    """
+    shared_dir(SparkSession.active())
     defaults = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "seed": 0}
     return GBTClassifier(**{**defaults, **spark_params(params, "maxIter")})
 
@@ -93,9 +98,6 @@ def fit_forest(df: DataFrame, **params):
 
 
 def fit_gbt(df: DataFrame, **params):
-    # Boosting adds a step of lineage per tree; with a checkpoint folder Spark cuts it every
-    # ``checkpointInterval`` trees.
-    shared_dir(df.sparkSession)
     return gbt(**params).fit(df)
 
 

@@ -1,11 +1,13 @@
-"""Run and model tables: append-only parquet below one shared root folder.
+"""Run and model tables: parquet below one shared root folder.
 
-``<root>/runs`` holds a row per run, ``<root>/models`` a row per registered version, and
-``<root>/artifacts/<run_id>/model`` the fitted models.
+``<root>/runs/<run_id>`` holds the row of a run, ``<root>/models/<name digest>/<version>`` the row of
+a registered version, and ``<root>/artifacts/<run_id>/model`` the fitted model. Every record has a
+folder of its own, so concurrent trials never write to the same place.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
@@ -29,12 +31,25 @@ def new_run_id() -> str:
     return uuid.uuid4().hex
 
 
+def _records(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
+
+def _record(spark: SparkSession, row: tuple, schema: str, path: str) -> None:
+    """Write one row to its own folder; a folder that is taken is an error."""
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("error").parquet(path)
+
+
 def runs_table(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(RUNS_SCHEMA).parquet(f"{root}/runs")
+    return _records(spark, RUNS_SCHEMA, f"{root}/runs")
 
 
 def models_table(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(MODELS_SCHEMA).parquet(f"{root}/models")
+    return _records(spark, MODELS_SCHEMA, f"{root}/models")
+
+
+def _name_folder(root: str, name: str) -> str:
+    return f"{root}/models/{hashlib.md5(name.encode()).hexdigest()}"
 
 
 def log_run(
@@ -61,7 +76,7 @@ def log_run(
     start = start_time or datetime.now(timezone.utc)
     scores = {k: float(v) for k, v in (metrics or {}).items()}
     row = (run_id, parent_run_id, run_name, start, recorded, scores, path, signature)
-    spark.createDataFrame([row], RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/runs")
+    _record(spark, row, RUNS_SCHEMA, f"{root}/runs/{run_id}")
     return run_id
 
 
@@ -104,26 +119,39 @@ def best_run(runs: DataFrame, metric: str = "test_auc"):
 
 
 def get_run(spark: SparkSession, root: str, run_id: str):
-    row = runs_table(spark, root).filter(F.col("run_id") == run_id).first()
-    if row is None:
-        raise KeyError(f"no run {run_id}")
-    return row
+    """One run, read from its own folder."""
+    try:
+        return _records(spark, RUNS_SCHEMA, f"{root}/runs/{run_id}").first()
+    except AnalysisException as missing:
+        raise KeyError(f"no run {run_id}") from missing
+
+
+def _versions(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    try:
+        return _records(spark, MODELS_SCHEMA, _name_folder(root, name))
+    except AnalysisException:  # nothing registered under the name yet
+        return None
 
 
 def register_model(spark: SparkSession, root: str, name: str, run_id: str) -> int:
-    """Give the run's model the next version of a name. One writer per name at a time."""
+    """Give the run's model the next version of a name.
+
+    A version that another writer has taken meanwhile is skipped. This is a check before writing,
+    not a lock.
+    """
     path = get_run(spark, root, run_id)["model_path"]
     if path is None:
         raise ValueError(f"run {run_id} has no model")
-    try:
-        known = models_table(spark, root).filter(F.col("name") == name)
-        last = known.agg(F.max("version")).first()[0]
-    except AnalysisException:  # first registration: no table yet
-        last = None
-    version = (last or 0) + 1
-    row = (name, version, run_id, path, datetime.now(timezone.utc))
-    spark.createDataFrame([row], MODELS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/models")
-    return version
+    while True:
+        known = _versions(spark, root, name)
+        version = 1 if known is None else known.agg(F.max("version")).first()[0] + 1
+        row = (name, version, run_id, path, datetime.now(timezone.utc))
+        try:
+            _record(spark, row, MODELS_SCHEMA, f"{_name_folder(root, name)}/{version}")
+            return version
+        except AnalysisException as taken:
+            if taken.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
 
 
 def load_run_model(spark: SparkSession, root: str, run_id: str) -> Model:
@@ -132,10 +160,10 @@ def load_run_model(spark: SparkSession, root: str, run_id: str) -> Model:
 
 def load_registered(spark: SparkSession, root: str, name: str, version: int | None = None) -> Model:
     """A registered model by name; the latest version unless given."""
-    known = models_table(spark, root).filter(F.col("name") == name)
-    if version is not None:
+    known = _versions(spark, root, name)
+    if known is not None and version is not None:
         known = known.filter(F.col("version") == version)
-    row = known.orderBy(F.desc("version")).first()
+    row = None if known is None else known.orderBy(F.desc("version")).first()
     if row is None:
-        raise KeyError(f"no model {name}")
+        raise KeyError(f"no model {name}, version {version or 'any'}")
     return load_model(row["model_path"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import features
 from millrace.plans.data import ORDER_CATEGORIES, ORDER_NUMBERS, order_rows, orders
-from millrace.plans.registry import at, query
+from millrace.plans.registry import at, query, rounded
 from millrace.sources import table
 
 # Category values of the given tables.
@@ -88,7 +88,23 @@ def assemble(spark, sf):
     return out.select("o_orderkey", F.size(x).alias("size"), *[at(x, i).alias(f"x{i}") for i in range(7)])
 
 
-@query("feature_slots")
+def _level_sql(column: str, order: int) -> str:
+    return f"""SELECT {order} AS c, '{column}classVec_' || {column} AS name,
+        row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS i, count(*) OVER () AS levels,
+        count(*) / (SELECT count(*) FROM r)::DOUBLE AS mean FROM r GROUP BY {column}"""
+
+
+@query(
+    "feature_slots",
+    f"""WITH r AS (SELECT o_orderstatus, o_orderpriority, c_mktsegment, c_nationkey::VARCHAR AS nation, o_totalprice,
+                         c_acctbal FROM orders JOIN customer ON o_custkey = c_custkey),
+    l AS ({" UNION ALL ".join(_level_sql(c, i) for i, c in enumerate(ORDER_CATEGORIES))}),
+    s AS (SELECT c, any_value(levels) - 1 AS slots FROM l GROUP BY c),
+    o AS (SELECT c, sum(slots) OVER (ORDER BY c) - slots AS start, sum(slots) OVER () AS total FROM s)
+    SELECT (start + i)::INT AS position, name, round(mean, 6) AS mean FROM l JOIN o USING (c) WHERE i < levels - 1
+    UNION ALL SELECT (SELECT any_value(total) FROM o)::INT, 'o_totalprice', round(avg(o_totalprice), 6) FROM r
+    UNION ALL SELECT (SELECT any_value(total) FROM o)::INT + 1, 'c_acctbal', round(avg(c_acctbal), 6) FROM r""",
+)
 def feature_slots(spark, sf):
     """Names of the vector slots of the training table, with the mean of each slot."""
     rows = order_rows(spark, sf)
@@ -96,7 +112,8 @@ def feature_slots(spark, sf):
     names = F.array(*[F.lit(n) for n in features.feature_names(prepared)])
     slots = prepared.select(F.posexplode(vector_to_array("features")).alias("position", "value"))
     means = slots.groupBy("position").agg(F.avg("value").alias("mean"))
-    return means.select("position", F.get(names, F.col("position")).alias("name"), "mean")
+    named = means.select("position", F.get(names, F.col("position")).alias("name"), "mean")
+    return rounded(named, "mean")
 
 
 @query("signature", "SELECT 'o_orderkey' AS first_input, 'label' AS first_output, count(*) AS n FROM orders")

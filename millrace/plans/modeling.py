@@ -204,6 +204,68 @@ def coefficients(spark, sf):
     return models.coefficients_table(model, features.feature_names(prepared))
 
 
+@query(
+    "coefficients_one_category",
+    f"""WITH {GROUPED_ORDERS_SQL},
+    p AS (SELECT o_orderstatus AS name, ln(avg(label) / (1 - avg(label))) AS logit,
+                 row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1 AS i, count(*) OVER () AS levels
+          FROM g GROUP BY o_orderstatus)
+    SELECT -1 AS position, '(intercept)' AS name, round(logit, 4) AS weight FROM p WHERE i = levels - 1
+    UNION ALL
+    SELECT i::INT, 'o_orderstatusclassVec_' || name, round(logit - (SELECT logit FROM p WHERE i = levels - 1), 4)
+    FROM p WHERE i < levels - 1""",
+)
+def coefficients_one_category(spark, sf):
+    """With one category as the only feature the weights are differences of log odds."""
+    rows = grouped_orders(spark, sf)
+    prepared = features.prepare(rows, features.feature_pipeline(["o_orderstatus"], []), [])
+    model = models.fit_logistic(prepared, tol=1e-12, max_iter=500)
+    weights = models.coefficients_table(model, features.feature_names(prepared))
+    return rounded(weights, "weight", digits=4)
+
+
+_SPLITS_SQL = ", ".join(
+    f"({k}, '{column}', '{value}')"
+    for k, (column, value) in enumerate(
+        [("o_orderstatus", v) for v in ("F", "O", "P")]
+        + [("o_orderpriority", v) for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")]
+    )
+)
+
+
+@query(
+    "tree_nodes_first_split",
+    f"""WITH {GROUPED_ORDERS_SQL}, c(k, col, val) AS (VALUES {_SPLITS_SQL}),
+    m AS (SELECT val, CASE col WHEN 'o_orderstatus' THEN o_orderstatus ELSE o_orderpriority END = val AS inside,
+                 o_totalprice AS y FROM g, c),
+    s AS (SELECT val, inside, count(*) AS n, avg(y) AS mean, var_pop(y) AS spread FROM m GROUP BY val, inside),
+    t AS (SELECT count(*) AS n, avg(o_totalprice) AS mean, var_pop(o_totalprice) AS spread FROM g),
+    b AS (SELECT val, t.spread - sum(s.n * s.spread) / t.n AS gain FROM s, t GROUP BY val, t.spread, t.n
+          ORDER BY gain DESC LIMIT 1)
+    SELECT 0 AS node, round(t.mean, 4) AS prediction, round(t.spread / 1e6, 4) AS impurity,
+           round(b.gain / 1e6, 4) AS gain, b.val AS split_value FROM t, b
+    UNION ALL
+    SELECT (row_number() OVER (ORDER BY s.mean))::INT, round(s.mean, 4), round(s.spread / 1e6, 4), NULL, NULL FROM s JOIN b USING (val)""",
+)
+def tree_nodes_first_split(spark, sf):
+    """The first split of a regression tree is the category value with the largest variance drop.
+
+    Of the two sides Spark puts the one with the lower mean on the left.
+    """
+    rows = grouped_orders(spark, sf).withColumn("label", F.col("o_totalprice"))
+    prepared = features.prepare(rows, features.feature_pipeline(GROUP_COLUMNS, [], drop_last=False), [])
+    options = {"bootstrap": False, "featureSubsetStrategy": "all"}
+    nodes = models.tree_nodes(models.fit_forest_regressor(prepared, n_estimators=1, max_depth=1, **options))
+    names = F.array(*[F.lit(n.split("classVec_")[1]) for n in features.feature_names(prepared)])
+    return nodes.select(
+        "node",
+        F.round("prediction", 4).alias("prediction"),
+        F.round(F.col("impurity") / 1e6, 4).alias("impurity"),
+        F.when(F.col("left_child").isNotNull(), F.round(F.col("gain") / 1e6, 4)).alias("gain"),
+        F.get(names, F.col("feature")).alias("split_value"),
+    )
+
+
 @query("tree_summary")
 def tree_summary(spark, sf):
     return models.tree_summary(models.fit_forest(prepared_orders(spark, sf), n_estimators=5, random_state=SEED))

@@ -77,3 +77,37 @@ def sampled_search(spark, sf):
     params = [F.round(table["params"][n], 6).alias(n) for n in space]
     return table.select("trial", *params, "auc", "loss", (F.col("auc") == F.lit(round(found.best_auc, 6))).alias("is_best"))
 
+
+
+def _draw_sql(name: str) -> str:
+    return f"""('0x' || substr(md5('42|' || trial || '|{name}'), 1, 13))::BIGINT / 16::DOUBLE ** 13"""
+
+
+@query(
+    "sampled_search_exact",
+    f"""WITH {GROUPED_ORDERS_SQL},
+    r AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42', o_orderkey::VARCHAR))) AS r,
+                 count(*) OVER () AS n FROM g),
+    m AS (SELECT o_orderstatus, o_orderpriority, avg(label) AS score FROM r WHERE r <= n - ceil(0.2 * n)
+          GROUP BY o_orderstatus, o_orderpriority),
+    s AS (SELECT score, sum(label) AS tp, sum(1 - label) AS fp FROM r JOIN m USING (o_orderstatus, o_orderpriority)
+          WHERE r > n - ceil(0.2 * n) GROUP BY score),
+    c AS (SELECT tp, fp, sum(tp) OVER (ORDER BY score DESC) AS ctp, sum(tp) OVER () AS pos, sum(fp) OVER () AS neg FROM s),
+    a AS (SELECT round(sum(fp / neg * (ctp - tp / 2) / pos), 6) AS auc FROM c),
+    t AS (SELECT range::INT AS trial FROM range(4))
+    SELECT trial, round_even(2 + 3 * {_draw_sql('n_estimators')}, 0) AS n_estimators,
+           round(exp(-3 + 3 * {_draw_sql('learning_rate')}), 6) AS learning_rate, auc FROM t, a""",
+)
+def sampled_search_exact(spark, sf):
+    """Trees that split all categories apart rank the groups by their training share of ones,
+    whatever the drawn number of trees and rate; the area under the curve follows."""
+    parts = split.split_exact(prepared_groups(spark, sf), "o_orderkey", test=0.2, seed=SEED)
+    space = {"n_estimators": tune.QuantUniform(2, 5), "learning_rate": tune.LogUniform(-3, 0)}
+
+    def apart(**params):
+        return models.gbt(max_depth=ALL_CATEGORIES_APART, **params)
+
+    train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
+    found = tune.sampled_search(apart, space, train, test, max_evals=4, parallelism=2, seed=SEED)
+    params = [F.round(found.table["params"][n], 6).alias(n) for n in space]
+    return rounded(found.table, "auc").select("trial", *params, "auc")

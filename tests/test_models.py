@@ -216,6 +216,18 @@ def test_versions(planted, spark):
     assert runs.load_registered(spark, root, "a", 1).numNodes == model.numNodes
     assert runs.get_run(spark, root, run)["params"]["maxDepth"] == "1"
     assert '"outputs"' in runs.get_run(spark, root, run)["signature"]
+    with pytest.raises(KeyError):
+        runs.load_registered(spark, root, "c")
     empty = runs.log_run(spark, root)
     with pytest.raises(ValueError):
         runs.register_model(spark, root, "a", empty)
+
+
+def test_concurrent_records(spark):
+    """Runs recorded at the same time all arrive."""
+    from multiprocessing.pool import ThreadPool
+
+    root = scratch_path(spark, "runs")
+    with ThreadPool(6) as pool:
+        ids = pool.map(lambda i: runs.log_run(spark, root, metrics={"m": i}), range(12))
+    assert {r["run_id"] for r in runs.runs_table(spark, root).collect()} == set(ids)

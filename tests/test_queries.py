@@ -1,5 +1,7 @@
 """Every registered query against its SQL twin, on the smallest tables."""
 
+import re
+
 import compare
 import pytest
 
@@ -26,8 +28,13 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf, duck):
-    found = compare.rows_of_spark(QUERIES[name](spark, sf))
+    df = QUERIES[name](spark, sf)
+    found = compare.rows_of_spark(df)
     if name in ORACLES:
         assert compare.difference(found, compare.rows_of_sql(duck, ORACLES[name])) is None
     else:
         assert found[1]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    if name != "batch_infer":
+        assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas", plan)
