@@ -169,8 +169,9 @@ def cut_at(hashes: DataFrame, rank: int, small: int = SMALL_BUCKET) -> Cut | Non
     """The hash at a 0-based rank of the ascending hash order; None beyond the last row.
 
     ``hashes`` has one text column ``_hash``. Each round counts rows per prefix, keeps the one
-    prefix that holds the rank and looks at longer prefixes inside it, until few rows are left.
-    A round narrows the rows 65,536 times; the driver sees one row per round.
+    prefix that holds the rank and looks at longer prefixes inside it, until few rows are left or
+    all of them share one hash. A round narrows the rows 65,536 times; the driver sees one row per
+    round.
     """
     prefix, base = "", 0
     while True:
@@ -179,10 +180,8 @@ def cut_at(hashes: DataFrame, rank: int, small: int = SMALL_BUCKET) -> Cut | Non
         found = _holder(inside.groupBy(F.substring("_hash", 1, length).alias("_hash")), rank, base)
         if found is None:
             return None
-        if length == HASH_DIGITS:
-            return Cut(rank, found["_hash"], found["_start"], found["_rows"])
         prefix, base = found["_hash"], found["_start"]
-        if found["_rows"] <= small:
+        if found["_rows"] <= small or found["_one"] or length == HASH_DIGITS:
             last = hashes.filter(F.col("_hash").startswith(prefix)).groupBy("_hash")
             found = _holder(last, rank, base)
             return Cut(rank, found["_hash"], found["_start"], found["_rows"])
@@ -190,11 +189,21 @@ def cut_at(hashes: DataFrame, rank: int, small: int = SMALL_BUCKET) -> Cut | Non
 
 def _holder(groups, rank: int, base: int):
     """The group of hashes (or prefixes) that holds a rank. At most 65,536 prefixes or ``small``
-    hashes reach the one ordered window."""
+    hashes reach the one ordered window. ``_one`` tells a group that seems to have a single hash;
+    it only decides when to stop narrowing."""
     along = Window.orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
-    counted = groups.agg(F.count(F.lit(1)).alias("_rows"))
+    number = F.xxhash64(F.col("_hash"))
+    counted = groups.agg(F.count(F.lit(1)).alias("_rows"), (F.min(number) == F.max(number)).alias("_one"))
     start = F.lit(base) + F.coalesce(F.sum("_rows").over(along), F.lit(0))
     placed = counted.withColumn("_start", start)
     hit = placed.filter((F.col("_start") <= rank) & (F.col("_start") + F.col("_rows") > rank))
     rows = hit.take(1)
     return rows[0] if rows else None
+
+
+def prefix_digits(n: int, rows_per_bucket: int = SMALL_BUCKET) -> int:
+    """Hash digits whose prefixes cut ``n`` rows into buckets of about the given size."""
+    digits = 1
+    while n > rows_per_bucket * 16**digits and digits < HASH_DIGITS:
+        digits += 1
+    return digits

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import row_hash
-from millrace.operators.rank import RADIX_DIGITS, Cut, cut_at
+from millrace.operators.rank import Cut, cut_at, prefix_digits
 
 COPIES_PER_TASK = 1_000_000
 
@@ -144,14 +144,16 @@ def assign_folds(
 
     Without ``stratify`` each row draws its fold from its hash: a projection, sizes nearly equal.
     With ``stratify`` rows are dealt out in turn along (class, hash), so each class differs by at
-    most one row between folds. That needs one shuffle, by (class, hash prefix).
+    most one row between folds. That needs one shuffle, by (class, hash prefix), with prefixes long
+    enough that even a class of all rows is cut into buckets of about a million.
     """
     digest = row_hash(_key(df, key), seed)
     if stratify is None:
         number = F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
         return df.withColumn(column, F.pmod(number, F.lit(k)).cast("int"))
 
-    hashed = df.withColumn("_hash", digest).withColumn("_bucket", F.substring("_hash", 1, RADIX_DIGITS))
+    digits = prefix_digits(df.count())
+    hashed = df.withColumn("_hash", digest).withColumn("_bucket", F.substring("_hash", 1, digits))
     sizes = hashed.groupBy(stratify, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     along = Window.partitionBy(stratify).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(along), F.lit(0)))
