@@ -22,7 +22,7 @@ def batch_infer(
     """Add the model's answer for each row, computed in batches inside the tasks.
 
     ``make_predict_fn`` loads the model once per Python worker and returns a function from NumPy
-    batches to one answer per row. ``input_shapes`` gives the tensor shape of array columns.
+    batches to a NumPy array with one answer per row. ``input_shapes`` gives the tensor shape of array columns.
     """
     predict = predict_batch_udf(
         make_predict_fn,
