@@ -62,7 +62,7 @@ def running_totals(
     first = F.max_by if descending else F.min_by
     per_bucket = bucketed.groupBy("_bucket").agg(
         *[F.sum(s).alias(f"_sum_{s}") for s in sums],
-        first(F.struct(*sums), F.col(order_col)).alias("_first"),
+        *[first(F.col(s), F.col(order_col)).alias(f"_first_{s}") for s in sums],
     )
     # At most one row per bucket edge, so one task and a broadcast are bounded by the bucket count.
     along = Window.orderBy(direction("_bucket"))
@@ -72,7 +72,7 @@ def running_totals(
         "_bucket",
         *[F.coalesce(F.sum(f"_sum_{s}").over(before), F.lit(0)).alias(f"_before_{s}") for s in sums],
         *[F.sum(f"_sum_{s}").over(whole).alias(f"total_{s}") for s in sums],
-        F.lead("_first").over(along).alias("_next_bucket"),
+        *[F.lead(f"_first_{s}").over(along).alias(f"_after_{s}") for s in sums],
     )
     inside = Window.partitionBy("_bucket").orderBy(direction(order_col))
     up_to_row = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -80,12 +80,9 @@ def running_totals(
         bucketed.join(F.broadcast(offsets), "_bucket")
         .withColumns(
             {f"cum_{s}": F.col(f"_before_{s}") + F.sum(s).over(up_to_row) for s in sums}
-            | {
-                f"next_{s}": F.coalesce(F.lead(s).over(inside), F.col("_next_bucket").getField(s))
-                for s in sums
-            }
+            | {f"next_{s}": F.coalesce(F.lead(s).over(inside), F.col(f"_after_{s}")) for s in sums}
         )
-        .drop("_bucket", "_next_bucket", *[f"_before_{s}" for s in sums])
+        .drop("_bucket", *[f"_{part}_{s}" for part in ("before", "after") for s in sums])
     )
 
 

@@ -114,8 +114,7 @@ def split_counts(
 ) -> DataFrame:
     """Shuffled split by absolute sizes; the remaining rows are left out, as asked for."""
     sizes = [("train", n_train), ("validation", n_validation)]
-    out = _segments(df, _key(df, key), seed, sizes, column)
-    return out
+    return _segments(df, _key(df, key), seed, sizes, column)
 
 
 def sample_n(df: DataFrame, key: str | Sequence[str] | None, n: int, seed: int = 0) -> DataFrame:
@@ -152,30 +151,33 @@ def assign_folds(
         number = F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
         return df.withColumn(column, F.pmod(number, F.lit(k)).cast("int"))
 
-    digits = prefix_digits(df.count())
-    hashed = df.withColumn("_hash", digest).withColumn("_bucket", F.substring("_hash", 1, digits))
-    sizes = hashed.groupBy(stratify, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    along = Window.partitionBy(stratify).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # The class as text, so that NULL is a class too and the join below is a plain equality on the
+    # columns the window is partitioned by: both then share one shuffle.
+    place = ["_class", "_bucket"]
+    hashed = df.withColumns(
+        {
+            "_hash": digest,
+            "_class": F.coalesce(F.col(f"`{stratify}`").cast("string"), F.lit("\\N")),
+            "_bucket": F.substring(digest, 1, prefix_digits(df.count())),
+        }
+    )
+    value = F.col(f"`{stratify}`").alias("_value")
+    sizes = hashed.groupBy("_class", value, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    along = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(along), F.lit(0)))
-    class_along = Window.orderBy(stratify).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per class in this window.
+    class_along = Window.orderBy("_value", "_class").rowsBetween(Window.unboundedPreceding, -1)
     classes = (
-        sizes.groupBy(stratify)
+        sizes.groupBy("_class", "_value")
         .agg(F.sum("_rows").alias("_rows"))
-        .select(
-            F.col(stratify).alias("_class"),
-            F.coalesce(F.sum("_rows").over(class_along), F.lit(0)).alias("_class_before"),
-        )
-    )
-    offsets = sizes.join(classes, F.col(stratify).eqNullSafe(F.col("_class"))).select(
-        F.col(stratify).alias("_class"),
-        F.col("_bucket").alias("_b"),
-        ((F.col("_class_before") + F.col("_before")) % k).cast("int").alias("_offset"),
+        .select("_class", F.coalesce(F.sum("_rows").over(class_along), F.lit(0)).alias("_class_before"))
     )
-    same = F.col(stratify).eqNullSafe(F.col("_class")) & (F.col("_bucket") == F.col("_b"))
-    inside = Window.partitionBy(stratify, "_bucket").orderBy("_hash")
+    offset = ((F.col("_class_before") + F.col("_before")) % k).cast("int").alias("_offset")
+    offsets = sizes.join(classes, "_class").select(*place, offset)
+    inside = Window.partitionBy(*place).orderBy("_hash")
     fold = (F.col("_offset") + F.row_number().over(inside) - 1) % k
     return (
-        hashed.join(offsets, same)
+        hashed.join(offsets, place)
         .withColumn(column, fold.cast("int"))
-        .drop("_hash", "_bucket", "_b", "_class", "_offset")
+        .select(*[F.col(f"`{c}`") for c in df.columns if c != column], column)
     )
