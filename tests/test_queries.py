@@ -6,9 +6,7 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from millrace.plans import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +16,8 @@ def duck(sf):
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
