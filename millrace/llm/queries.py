@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate
+from millrace.llm import decontaminate, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
         decontaminate.is_contaminated().alias("contaminated"),
     )
+
+
+@query("op7_minhash")
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of three-word shingles at a similarity of 0.85."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = minhash.near_duplicates(docs, shingle=3, threshold=0.85)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
