@@ -7,7 +7,9 @@ pairs are formed (their tables can't hold two documents), so most documents ente
 
 Candidates are verified on the full shingle sets. In each table documents are first compared with its smallest
 one; then only documents that still lie in different components are compared with each other. So a table of copies
-yields as many pairs as documents, and no link between different groups is passed over.
+yields as many pairs as documents, and no link between different groups is passed over. Pairs that can't reach the
+similarity are left out inside the join, by their set sizes and by bitmaps of the sets: each shingle flips one bit,
+so the bits in which two bitmaps differ are a lower bound of the shingles that only one of the sets has.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from millrace.llm.tables import connected_components, written
 SHINGLE, THRESHOLD = 5, 0.8
 #: Minhashes in a half key, and the greatest chance to miss a pair at the threshold.
 ROWS, MISS = 3, 1e-4
+#: 64-bit words in the bitmap of a set.
+BITMAP = 8
 
 SIGNATURE = T.StructType(
     [
@@ -35,6 +39,7 @@ SIGNATURE = T.StructType(
         T.StructField("content", T.LongType()),
         T.StructField("left", T.ArrayType(T.LongType())),
         T.StructField("right", T.ArrayType(T.LongType())),
+        T.StructField("bits", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -78,23 +83,31 @@ def _signatures(k: int, m: int, rows: int, seed: int):
 
     def run(texts: pa.Array) -> list[pa.Array]:
         n, content, keys = [np.empty(0, np.int64)], [np.empty(0, W.U64)], [np.empty((0, 2 * m), W.U64)]
+        bits = [np.empty((0, BITMAP), W.U64)]
         for _, _, values, counts in shingles(texts, k):
             values, counts = distinct_shingles(values, counts)
             full = np.flatnonzero(counts)
             begin = (np.cumsum(counts) - counts)[full]
             own, mixed = np.zeros(len(counts), W.U64), np.zeros((len(counts), 2 * m), W.U64)
+            flips = np.zeros((len(counts), BITMAP), W.U64)
             if len(full):
                 own[full] = W.mix(np.add.reduceat(W.mix(values), begin) + counts[full].astype(W.U64))
                 for h in range(2 * m * rows):
                     least = np.minimum.reduceat((values ^ shift[h]) * multiply[h], begin)
                     mixed[full, h // rows] = W.mix(mixed[full, h // rows] + least)
+                bit, word = W.U64(1) << (values & W.U64(63)), (values >> W.U64(6)) % W.U64(BITMAP)
+                for i in range(BITMAP):
+                    flips[full, i] = np.bitwise_xor.reduceat(np.where(word == W.U64(i), bit, W.U64(0)), begin)
             n.append(counts)
             content.append(own)
             keys.append(mixed)
+            bits.append(flips)
         counts, both = np.concatenate(n), np.concatenate(keys).view(np.int64)
         each = np.where(counts > 0, m, 0)
         left, right = both[counts > 0, :m].ravel(), both[counts > 0, m:].ravel()
-        return [pa.array(counts), pa.array(np.concatenate(content).view(np.int64)), lists(pa.array(left), each), lists(pa.array(right), each)]
+        bitmaps = lists(pa.array(np.concatenate(bits).view(np.int64).ravel()), np.full(len(counts), BITMAP))
+        return [pa.array(counts), pa.array(np.concatenate(content).view(np.int64)),
+                lists(pa.array(left), each), lists(pa.array(right), each), bitmaps]
 
     return run
 
@@ -125,9 +138,15 @@ def _tables(classes: DataFrame) -> DataFrame:
     )
 
 
-def _could_link(a: str, b: str, percent: int) -> Column:
+def _could_link(n1: str, n2: str, percent: int) -> Column:
     """Set sizes that allow the similarity."""
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+    return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
+
+
+def _near_enough(n1: str, bits1: str, n2: str, bits2: str, percent: int) -> Column:
+    """Set sizes and bitmaps that allow the similarity: true for every pair that reaches it."""
+    differ = sum((F.bit_count(F.get(bits1, F.lit(i)).bitwiseXOR(F.get(bits2, F.lit(i)))) for i in range(BITMAP)), F.lit(0))
+    return _could_link(n1, n2, percent) & (differ * (100 + percent) <= (F.col(n1) + F.col(n2)) * (100 - percent))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -167,35 +186,40 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     m = half_keys(threshold, rows, miss)
     made = map_text(docs.select(named(doc_id).alias("node"), named(text).alias("text")), F.col("text"), SIGNATURE,
                     _signatures(shingle, m, rows, seed), ["node"])
-    signed = written(made.select(F.col("row.node").alias("id"), "found.n", "found.content", "found.left", "found.right"), "signatures")
+    signed = written(made.select(F.col("row.node").alias("id"), "found.*"), "signatures")
     # Equal sets are one class, known by its smallest id.
     classes = signed.filter("n > 0").groupBy("content").agg(
-        F.min("id").alias("node"), F.first("n").alias("n"), F.first("left").alias("left"), F.first("right").alias("right")
+        F.min("id").alias("node"), *(F.first(c).alias(c) for c in ("n", "left", "right", "bits"))
     ).filter("node IS NOT NULL")
     tables = written(_tables(classes), "tables")
+    bitmaps = classes.join(tables.select("node").distinct(), "node", "left_semi").select("node", "n", "bits")
+    bitmaps = written(bitmaps, "bitmaps")
 
     centre = tables.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("size")).filter("size > 1")
     stars = (
         tables.join(centre, "key").filter((F.col("node") > F.col("c.node")) & _could_link("n", "c.n", percent))
         .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
     )
-    stars = written(stars, "stars")
-    nodes = tables.select("node").distinct()
-    sets = written(_node_sets(docs, nodes, doc_id, text, shingle), "sets")
+    one, two = bitmaps.toDF("a", "na", "bits_a"), bitmaps.toDF("b", "nb", "bits_b")
+    stars = stars.join(one, "a").join(two, "b").filter(_near_enough("na", "bits_a", "nb", "bits_b", percent))
+    stars = written(stars.select("a", "b").distinct(), "stars")
+    sets = written(_node_sets(docs, bitmaps.select("node").distinct(), doc_id, text, shingle), "sets")
     links = written(_verified(stars, sets, percent), "star_links")
     component = written(connected_components(links), "components")
 
     # What is left: pairs of one table that lie in different components and weren't compared yet.
     placed = written(
-        tables.join(component, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("comp")), "placed"
+        tables.select("key", "node").join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp")), "placed"
     )
     sized = placed.groupBy("key", "comp").agg(F.count("*").alias("size"))
     mixed = sized.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("hub"), F.count("*").alias("comps")).filter("comps > 1")
-    open_ = placed.join(mixed.select("key", F.col("hub.comp").alias("hub")), "key")
-    outside = open_.filter("comp <> hub").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
+    open_ = placed.join(mixed.select("key", F.col("hub.comp").alias("hub")), "key").join(bitmaps, "node")
+    outside = open_.filter("comp <> hub").select(
+        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("bits").alias("bits_x"), F.col("comp").alias("cx")
+    )
     rest = (
-        outside.join(open_.select("key", "node", "n", "comp"), "key")
-        .filter((F.col("cx") != F.col("comp")) & _could_link("nx", "n", percent))
+        outside.join(open_.select("key", "node", "n", "bits", "comp"), "key")
+        .filter((F.col("cx") != F.col("comp")) & _near_enough("nx", "bits_x", "n", "bits", percent))
         .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
