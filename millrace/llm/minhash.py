@@ -159,8 +159,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _node_sets(docs, nodes, node, text, shingle) -> DataFrame:
-    """Shingle sets of the nodes' documents."""
-    mine = docs.select(named(node).alias("node"), named(text).alias("text")).join(nodes, "node", "left_semi")
+    """Shingle sets of the nodes' documents. The join is a merge join at every size: node ids grow with the corpus."""
+    mine = docs.select(named(node).alias("node"), named(text).alias("text")).join(nodes.hint("merge"), "node", "left_semi")
     return map_text(mine, F.col("text"), T.StructType([T.StructField("set", T.ArrayType(T.LongType()))]), _sets(shingle), ["node"]).select(
         "row.node", "found.set"
     )
