@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, minhash
+from millrace.llm import decontaminate, minhash, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,16 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = minhash.near_duplicates(docs, shingle=3, threshold=0.85)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores learnt from pairs of labelled documents outside the held-out quarter."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model, keep=["doc_id"]).select(
+        "row.doc_id",
+        quality.held_out(F.col("row.doc_id")).alias("held_out"),
+        F.col("found.score").alias("score"),
+        (F.col("found.score") >= quality.CUT).cast("int").alias("predicted"),
+    )
