@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, minhash, quality
+from millrace.llm import decontaminate, minhash, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("found.score").alias("score"),
         (F.col("found.score") >= quality.CUT).cast("int").alias("predicted"),
     )
+
+
+@query("op9_substrings")
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that stay when passages of 35 words that come up twice are removed."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, keep=["doc_id"]).select(
+        "row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
