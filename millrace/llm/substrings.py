@@ -30,7 +30,14 @@ WINDOW = 35
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
 
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-RESULT = "c long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept string"
+RESULT = T.StructType(
+    [
+        T.StructField("n_words", T.LongType()),
+        T.StructField("n_removed", T.LongType()),
+        T.StructField("spans", T.ArrayType(SPAN)),
+        T.StructField("kept", T.StringType()),
+    ]
+)
 
 
 def cover(window: int) -> tuple[int, np.ndarray]:
@@ -153,8 +160,9 @@ def _removal(window: int):
             start, end = np.concatenate(edges).astype(np.int64).T
             spans = pa.StructArray.from_arrays([pa.array(start), pa.array(end)], names=SPAN.names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("c"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), lists(spans, n_spans), pa.array(kept, pa.string())],
-                names=["c", "n_words", "n_removed", "spans", "kept"],
+                [batch.column("row"), batch.column("c"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                 lists(spans, n_spans), pa.array(kept, pa.string())],
+                names=["row", "c", *RESULT.names],
             )
 
     return run
@@ -179,13 +187,18 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", window: int = WINDOW,
     """
     if window < 1:
         raise ValueError("window must be positive")
-    # All three readers take the same columns, so that one shuffle of the texts serves them.
-    texts = docs.select(content_key(named(text)).alias("c"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text"))
-    texts = texts.groupBy("c").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    # All readers take the same columns, so that one shuffle of the texts serves them.
+    rows = docs.select(
+        whole_row(docs, keep).alias("row"), content_key(named(text)).alias("c"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text")
+    )
+    texts = rows.groupBy("c").agg(F.first("text").alias("text"), F.first("row").alias("row"), F.count("*").alias("copies"))
     anchors = texts.mapInArrow(_anchors(window), "h0 long, c long, pos int, known boolean")
     hits = _repeated(anchors, ["h0"])
     windows = texts.join(hits, "c").mapInArrow(_windows(window), "h0 long, h1 long, c long, pos int, known boolean")
     repeated = _repeated(windows, ["h0", "h1"])
-    result = texts.join(repeated, "c", "left").mapInArrow(_removal(window), RESULT)
-    rows = docs.select(whole_row(docs, keep).alias("row"), content_key(named(text)).alias("c"))
-    return rows.join(result, "c").drop("c")
+    schema = T.StructType([rows.schema["row"], T.StructField("c", T.LongType()), *RESULT])
+    single = texts.filter("copies = 1").join(repeated, "c", "left").mapInArrow(_removal(window), schema)
+    # A text with copies loses all its windows; what is left of it goes to each of its rows.
+    several = texts.filter("copies > 1").withColumn("hits", F.lit(None).cast("array<int>")).mapInArrow(_removal(window), schema)
+    several = rows.select("row", "c").join(several.drop("row"), "c")
+    return single.unionByName(several).drop("c")
