@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, minhash, quality, substrings
+from millrace.llm import decontaminate, minhash, quality, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,16 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(docs, keep=["doc_id"]).select(
         "row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer that the contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_tokens")
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back."""
+    return tokens.token_output(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
