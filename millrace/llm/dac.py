@@ -21,15 +21,15 @@ RANK_BITS = 512
 
 def encode_levels(values: np.ndarray) -> list[np.ndarray]:
     """Chunks, bitmap and rank directory of each level, one after another. No values: one empty level."""
-    out, rest = [], values.astype(np.uint64)
+    out, rest = [], values
     while True:
         more = rest > 255
         bitmap = np.packbits(more, bitorder="little")
         counts = np.add.reduceat(more, np.arange(0, len(more), RANK_BITS)) if len(more) else np.empty(0, np.int64)
-        out += [(rest & np.uint64(255)).astype(np.uint8), bitmap, np.concatenate(([0], np.cumsum(counts))).astype("<u8")]
+        out += [rest.astype(np.uint8), bitmap, np.concatenate(([0], np.cumsum(counts))).astype("<u8")]
         if not more.any():
             return out
-        rest = rest[more] >> np.uint64(8)
+        rest = rest[more] >> rest.dtype.type(8)
 
 
 def to_bytes(doc_ids: list[int | None], lengths: np.ndarray, tokens: np.ndarray) -> bytes:

@@ -7,11 +7,14 @@ twice writes the same files.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +30,30 @@ from millrace.session import scratch_path
 #: Token that ends a document.
 END_ID = 2
 #: Tokens in a file, about; a longer document makes a longer file.
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 #: Words whose ids a Python worker keeps.
 KEPT_WORDS = 400_000
 
+# The steps before the model of a tokenizer that lower-cases and splits letters, digits and the rest.
+LOWER_WORDS = [
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+]
+#: A word that is its pieces: printable ASCII without apostrophes (contractions) and without "<|" (special tokens).
+PLAIN = re.compile(r"(?!.*<\|)[!-&(-~]+")
+PIECE = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+
 FILES = "file string, part int, number int, n_docs long, n_tokens long"
 
 
@@ -59,28 +82,44 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer, self._kept = Tokenizer.from_file(path), kept_words
+        self._model = self._tokenizer.model
+        # Only the tokenizer whose steps are known is taken apart into pieces; any other encodes its words whole.
+        steps = json.loads(self._tokenizer.to_str())
+        self._plain = [steps["normalizer"], steps["pre_tokenizer"]] == LOWER_WORDS
         self._clear()
 
     def _clear(self) -> None:
-        self._slots, self._known = _Slots(), 0
+        self._slots, self._known, self._known_pieces = _Slots(), 0, {}
         self._ids, self._begin, self._count = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def _pieces(self, word: str) -> list[int]:
+        """Ids of a word of printable ASCII without apostrophes: each run of letters, digit and run of other
+        characters is a piece of its own, whose bytes the model reads as they are, in lower case."""
+        ids = []
+        for piece in PIECE.findall(word.lower()):
+            if piece not in self._known_pieces:
+                self._known_pieces[piece] = [t.id for t in self._model.tokenize(piece)]
+            ids += self._known_pieces[piece]
+        return ids
+
     def _learn(self) -> None:
-        """Encode the words that came new, a thousand to a text; a token's place tells its word."""
-        words = [w.decode() for w in list(self._slots)[self._known :]]
-        blocks = [words[i : i + 1000] for i in range(0, len(words), 1000)]
-        ids, counts = [], []
-        for block, coded in zip(blocks, self._tokenizer.encode_batch([" ".join(b) for b in blocks], add_special_tokens=False)):
-            sizes = np.fromiter(map(len, block), np.int64, len(block)) + 1
-            starts = np.fromiter((a for a, _ in coded.offsets), np.int64, len(coded))
-            ids.append(np.array(coded.ids, np.uint32))
-            counts.append(np.bincount(np.searchsorted(np.cumsum(sizes), starts, side="right"), minlength=len(block)))
+        """Encode the words that came new, plain ones by their pieces, the others by the whole tokenizer."""
+        words = [w.decode() for w in islice(self._slots, self._known, None)]
+        plain = [self._plain and w.isascii() and PLAIN.fullmatch(w) is not None for w in words]
+        other = iter(self._whole([w for w, p in zip(words, plain) if not p]))
+        ids = [self._pieces(w) if p else next(other) for w, p in zip(words, plain)]
         if words:
-            self._count = np.concatenate([self._count, *counts])
-            self._ids = np.concatenate([self._ids, *ids])
-            self._begin = np.cumsum(self._count) - self._count
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            begin = len(self._ids) + np.cumsum(counts) - counts
+            self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))])
+            self._begin, self._count = np.concatenate([self._begin, begin]), np.concatenate([self._count, counts])
             self._known = len(self._slots)
 
+    def _whole(self, words: list[str]) -> Iterator[list[int]]:
+        for i in range(0, len(words), 1000):
+            for coded in self._tokenizer.encode_batch_fast(words[i : i + 1000], add_special_tokens=False):
+                yield coded.ids
+
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id behind it, and the number of ids of each."""
         if len(self._slots) > self._kept:
