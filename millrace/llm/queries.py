@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, minhash, quality, substrings, tokens
+from millrace.llm import decontaminate, minhash, mixing, quality, substrings, tokens
+from millrace.llm.mixing_sql import mixing_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +83,16 @@ def tokenizer_path() -> str:
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back."""
     return tokens.token_output(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+@query("op10_mixing")
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drawing probabilities of all documents, raked to tempered shares of source, language and topic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.document_mix(docs, keep=["doc_id"]).select(
+        "row.doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"),
+        "sampled", F.round("weight", 6).alias("weight"),
+    )
+
+
+ORACLES["op10_mixing"] = mixing_sql()
