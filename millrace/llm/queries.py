@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, minhash, mixing, quality, substrings, tokens
+from millrace.llm import decontaminate, minhash, mixing, quality, secrets, substrings, tokens, winnow
 from millrace.llm.mixing_sql import mixing_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,41 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_mixing"] = mixing_sql()
+
+
+@query("op2_winnow")
+def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made = lambda df: df.withColumn("choices", winnow.chosen(F.col("text")))
+    rows = winnow.with_next(docs, "doc_id", parts, made, ["text", "choices"])
+    n, cut = F.length("text"), F.floor(F.length("text") / 4).cast("int")
+    edited = F.concat(F.expr("substring(text, 1, length(text) - floor(length(text) / 4))"), F.substring("next_text", F.lit(1), cut))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "choices", "next_choices")
+    after = winnow.let(winnow.chosen(F.col("edited")), lambda e: F.struct(
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnow.as_text(F.col("choices")).alias("fingerprint"),
+        winnow.as_text(e).alias("edited_fingerprint"),
+        winnow.let(winnow.hashes_of(F.col("choices")), lambda mine: F.struct(
+            winnow.likeness(mine, winnow.hashes_of(e)).alias("near_edited"),
+            winnow.likeness(mine, winnow.hashes_of(F.col("next_choices"))).alias("near_next"),
+        )).alias("near"),
+    ))
+    rows = rows.select("doc_id", "n_chars", after.alias("x"))
+    return rows.select("doc_id", "n_chars", "x.edited_sha256", "x.fingerprint", "x.edited_fingerprint", "x.near.near_edited", "x.near.near_next")
+
+
+@query("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, each text scanned once."""
+    found, _ = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    base = [r.kind for r in secrets.BASE]
+    told = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    of = lambda spans: F.array_join(F.transform(spans, told), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "row.doc_id", *[count(k) for k in base],
+        F.sha2(of(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        of(F.col("spans")).alias("spans"),
+    )
