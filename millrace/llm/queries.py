@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, minhash, mixing, quality, secrets, substrings, tokens, winnow
+from millrace.llm import decontaminate, langid, minhash, mixing, quality, secrets, substrings, tokens, winnow
 from millrace.llm.mixing_sql import mixing_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,14 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(of(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         of(F.col("spans")).alias("spans"),
     )
+
+
+@query("op5_langid")
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt outside the held-out quarter."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit_languages(docs)
+    return langid.predict_languages(docs, model, keep=["doc_id"]).select(
+        "row.doc_id", quality.held_out(F.col("row.doc_id")).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"),
+    )
