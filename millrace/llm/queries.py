@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, langid, minhash, mixing, quality, secrets, substrings, tokens, winnow
+from millrace.llm import decontaminate, langid, lines, minhash, mixing, quality, secrets, substrings, tokens, winnow
 from millrace.llm.mixing_sql import mixing_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,13 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", quality.held_out(F.col("row.doc_id")).alias("held_out"),
         F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"),
     )
+
+
+@query("op1_lines")
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents that an earlier line resembles, and what is left of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs, keep=["doc_id"]).select(
+        "row.doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
