@@ -96,12 +96,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, ranks:
 def repeated_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc, line) of every line that an earlier one is equal or similar to, in ascending order of (doc_id, line)."""
     ranks = rarity(docs, text)
-    n = F.col("n")
-    lines = _lines(docs, doc_id, text).filter("doc IS NOT NULL").select("doc", "line", _codes(F.col("content"), ranks).alias("codes"))
-    lines = lines.select("doc", "line", "codes", F.size("codes").alias("n")).filter("n > 0")
-    flips = F.aggregate("codes", F.lit(0).cast("bigint"), lambda acc, c: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int"))))
-    prefix = F.slice("codes", 1, (n - F.ceil(n * percent / 100) + 1).cast("int"))
-    rows = lines.select("doc", "line", "n", flips.alias("bits"), F.posexplode(prefix).alias("pos", "word"))
+    flip = lambda acc, c: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int")))
+    sketch = let(_codes(F.col("content"), ranks), lambda codes: F.struct(
+        F.size(codes).alias("n"),
+        F.aggregate(codes, F.lit(0).cast("bigint"), flip).alias("bits"),
+        F.slice(codes, 1, (F.size(codes) - F.ceil(F.size(codes) * percent / 100) + 1).cast("int")).alias("prefix"),
+    ))
+    rows = _lines(docs, doc_id, text).filter("doc IS NOT NULL").select("doc", "line", sketch.alias("x"))
+    rows = rows.select("doc", "line", "x.n", "x.bits", F.posexplode("x.prefix").alias("pos", "word"))
     shared = rows.groupBy("word").agg(F.count("*").alias("c")).filter("c > 1").select("word")
     rows = written(rows.join(shared, "word", "left_semi"), "prefixes")
 
