@@ -63,13 +63,13 @@ def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
 
 def tempered(cells: DataFrame, dimension: str, power: float = TEMPERATURE) -> DataFrame:
     """Target shares (value of the dimension, share): token shares to a power, made to sum to one."""
-    raised = cells.groupBy(dimension).agg(F.sum("mass").alias("m")).select(dimension, F.pow("m", F.lit(power)).alias("s"))
+    raised = cells.groupBy(dimension).agg(F.sum("mass").alias("_mass")).select(dimension, F.pow("_mass", F.lit(power)).alias("_raised"))
     return _share(raised, dimension)
 
 
 def _share(raised: DataFrame, dimension: str) -> DataFrame:
-    total = raised.agg(F.sum("s").alias("all")).head()["all"] or 1.0
-    return raised.select(dimension, (F.col("s") / F.lit(total)).alias("share"))
+    total = raised.agg(F.sum("_raised")).head()[0] or 1.0
+    return raised.select(dimension, (F.col("_raised") / F.lit(total)).alias("share"))
 
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
@@ -83,7 +83,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     now = cells.withColumn("weight", F.col("mass") / F.lit(float(mass) or 1.0))
     fixed = {}
     for name, target in targets.items():
-        there = _joined(target.withColumnRenamed("share", "s"), cells.filter("mass > 0").select(name).distinct(), [name], "left_semi")
+        there = _joined(target.withColumnRenamed("share", "_raised"), cells.filter("mass > 0").select(name).distinct(), [name], "left_semi")
         fixed[name] = written(_share(there, name), "targets")
     for _ in range(rounds):
         for name, target in fixed.items():

@@ -30,7 +30,7 @@ PENALTY = 1e-4
 
 
 def _bytes(chars: str) -> np.ndarray:
-    out = np.zeros(256, dtype=np.int64)
+    out = np.zeros(256, dtype=np.int8)
     out[list(chars.encode())] = 1
     return out
 
@@ -60,6 +60,13 @@ class QualityModel(NamedTuple):
     cut: float
 
 
+def _totals(flags: np.ndarray) -> np.ndarray:
+    """Running totals, from 0 on."""
+    out = np.zeros(len(flags) + 1, np.int32 if len(flags) < 1 << 31 else np.int64)
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
 def _distinct(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     end = np.cumsum(counts)
     return np.array([len(np.unique(values[e - c : e])) for c, e in zip(counts, end)], np.int64)
@@ -73,13 +80,13 @@ def text_features(texts: pa.Array) -> np.ndarray:
         edges = offsets[low : high + 1]
         parts = W.split_words(data, edges, W.NOT_SPACE, lower=False)
         edges, n_words = edges - edges[0], np.diff(parts.first)
-        sums = {k: np.concatenate(([0], np.cumsum(v[parts.data]))) for k, v in CLASSES.items()}
+        sums = {k: _totals(v[parts.data]) for k, v in CLASSES.items()}
         n_bytes, words = np.maximum(np.diff(edges), 1), np.maximum(n_words, 1)
         of = {k: s[parts.ends] - s[parts.starts] for k, s in sums.items()}  # in each word
-        first_upper = UPPER[parts.data[parts.starts]] if len(parts.starts) else np.empty(0, np.int64)
+        first_upper = UPPER[parts.data[parts.starts]] if len(parts.starts) else np.empty(0, np.int8)
 
         def share(flags: np.ndarray) -> np.ndarray:
-            total = np.concatenate(([0], np.cumsum(flags)))
+            total = _totals(flags)
             return (total[parts.first[1:]] - total[parts.first[:-1]]) / words
 
         places, triples = W.gram_places(parts.first, 3)
