@@ -73,7 +73,7 @@ def _cross_validation(make_estimator, values: dict):
         train = parts.filter("split = 'train'")
         estimator = make_estimator()
         points = tune.grid(estimator, values)
-        return tune.cross_validate(estimator, points, train, "o_orderkey", k=5, seed=SEED, parallelism=CPUS).table
+        return tune.cross_validate(estimator, points, train, "o_orderkey", k=5, seed=SEED, parallelism=CPUS, fit_partitions=1).table
 
     return run
 
@@ -87,7 +87,7 @@ def _search(spark: SparkSession, sf: str) -> DataFrame:
         "max_depth": tune.QuantUniform(2, 5),
     }
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
-    return tune.sampled_search(models.gbt, space, train, test, max_evals=8, parallelism=2, seed=SEED).table
+    return tune.sampled_search(models.gbt, space, train, test, max_evals=8, parallelism=2, seed=SEED, fit_partitions=4).table
 
 
 # The grids of the published examples.

@@ -58,11 +58,21 @@ def positive_score(probability: Column | str = "probability") -> Column:
 
 
 def row_hash(columns: Sequence[str], seed: int) -> Column:
-    """Seeded 32-digit md5 of the columns' text; sorting by it is a reproducible shuffle."""
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in columns]
+    """Seeded 32-digit md5 of the columns' text; sorting by it is a reproducible shuffle.
+
+    Different rows have different texts: bars and backslashes inside a value are escaped, and NULL is a
+    bare ``\\N``.
+    """
+    parts = [value_text(F.col(f"`{c}`")) for c in columns]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
+def value_text(c: Column) -> Column:
+    """A value as text that has no bare bar, and that differs from NULL's."""
+    text = F.replace(F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    return F.coalesce(text, F.lit("\\N"))
+
+
 # ---- class names -------------------------------------------------------------------------------
 
 

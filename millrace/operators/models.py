@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import positive_score
-from millrace.session import scratch_path, shared_dir
+from millrace.session import scratch_path
 from millrace.sources.tables import save_model
 
 # Deepest tree Spark builds; stands for "no depth limit".
 DEEPEST_TREE = 30
 
+#: Seed of trees, forests and boosting unless told otherwise: a fit is the same in every process.
+SEED = 0
+
 # Parameter names of single-machine libraries and what Spark calls them.
 COMMON_NAMES = {
     "criterion": "impurity",
@@ -59,11 +62,11 @@ def logistic(**params) -> LogisticRegression:
 
 
 def tree(**params) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(**spark_params(params))
+    return DecisionTreeClassifier(**{"seed": SEED, **spark_params(params)})
 
 
 def forest(**params) -> RandomForestClassifier:
-    return RandomForestClassifier(**spark_params(params, "numTrees"))
+    return RandomForestClassifier(**{"seed": SEED, **spark_params(params, "numTrees")})
 
 
 def gbt(**params) -> GBTClassifier:
@@ -72,13 +75,12 @@ def gbt(**params) -> GBTClassifier:
     Boosting adds a step of lineage per tree. With a checkpoint folder set, Spark cuts it every
     ``checkpointInterval`` trees.
     """
-    shared_dir(SparkSession.active())
-    defaults = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "seed": 0}
+    defaults = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "seed": SEED}
     return GBTClassifier(**{**defaults, **spark_params(params, "maxIter")})
 
 
 def forest_regressor(**params) -> RandomForestRegressor:
-    return RandomForestRegressor(**spark_params(params, "numTrees"))
+    return RandomForestRegressor(**{"seed": SEED, **spark_params(params, "numTrees")})
 
 
 def fit_logistic(df: DataFrame, C: float | None = None, **params):

@@ -90,7 +90,7 @@ def quartiles(df: DataFrame, column: str, by: Sequence[str] = (), approx: bool =
 
 
 def _fences(q: DataFrame, k: float) -> DataFrame:
-    iqr = F.col("q3") - F.col("q1")
+    iqr = F.when(F.col("q3") == F.col("q1"), 0.0).otherwise(F.col("q3") - F.col("q1"))
     return q.withColumns({"iqr": iqr, "lower": F.col("q1") - k * iqr, "upper": F.col("q3") + k * iqr})
 
 

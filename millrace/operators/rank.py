@@ -145,7 +145,10 @@ def exact_quantiles(
         *[value_at(r).alias(f"_hi{i}") for i, r in enumerate(upper)],
     )
     between = [
-        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (position[i] - lower[i])
+        # Equal neighbours stay as they are: the difference of two infinities is no number.
+        F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}")).otherwise(
+            F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (position[i] - lower[i])
+        )
         for i in range(len(probabilities))
     ]
     return picked.select(*by, "n", F.array(*between).alias("quantiles"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import row_hash
+from millrace.functions.columns import value_text
 from millrace.operators.rank import Cut, cut_at, prefix_digits
 
 COPIES_PER_TASK = 1_000_000
@@ -65,10 +66,15 @@ def _segments(
     if not shared:
         return out
     if set(key) != set(df.columns):
-        raise ValueError(
-            "rows on both sides of a cut share the key; give columns that identify a row, "
-            "or no key to use all columns"
-        )
+        # Different rows with one key lie across a cut: they are split in turn by all their columns.
+        for cut in shared.values():
+            inner, at = [], 0
+            for name, size in sizes:
+                begin, at = at, at + (size or 0)
+                inner.append((name, None if size is None else max(0, at - max(begin, cut.start))))
+            tied = df.filter(digest == F.lit(cut.hash))
+            out = out.unionByName(_segments(tied, df.columns, seed, inner, column))
+        return out
     # Copies of one row lie across a cut. They are counted, not collected, and written out again
     # in chunks with their ranks.
     starts = F.create_map(*[F.lit(x) for c in shared.values() for x in (c.hash, c.start)])
@@ -157,7 +163,7 @@ def assign_folds(
     hashed = df.withColumns(
         {
             "_hash": digest,
-            "_class": F.coalesce(F.col(f"`{stratify}`").cast("string"), F.lit("\\N")),
+            "_class": value_text(F.col(f"`{stratify}`")),
             "_bucket": F.substring(digest, 1, prefix_digits(df.count())),
         }
     )

@@ -6,7 +6,6 @@ threads. The prepared table is persisted once and all fits read it.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -24,14 +23,14 @@ from millrace.operators.runs import log_run, new_run_id
 from millrace.operators.split import assign_folds
 from millrace.session import persisted
 
-ROWS_PER_TASK = 250_000
-
 
 def grid(estimator: Estimator, values: Mapping[str, Sequence]) -> list[dict]:
     """All combinations of parameter values, as param maps of the estimator."""
     builder = ParamGridBuilder()
     for name, choices in values.items():
-        ensemble_size = next((n for n in ("numTrees", "maxIter") if estimator.hasParam(n)), None)
+        # The number of trees; iterations of a model without trees are not meant by it.
+        names = ("numTrees", "maxIter") if estimator.hasParam("maxDepth") else ()
+        ensemble_size = next((n for n in names if estimator.hasParam(n)), None)
         translated = [spark_params({name: c}, ensemble_size) for c in choices]
         if not all(translated):
             continue
@@ -54,14 +53,8 @@ def _in_threads(spark: SparkSession, tasks: Sequence[Callable], parallelism: int
         pool.close()
 
 
-def _few_partitions(kept: DataFrame, parallelism: int) -> DataFrame:
-    """A kept table cut into as many tasks as one of several concurrent fits can use.
-
-    The cores are shared by the concurrent fits, so a small table needs few tasks per fit; a large
-    table keeps its partitions, because ``coalesce`` never adds any.
-    """
-    share = kept.sparkSession.sparkContext.defaultParallelism // max(1, parallelism)
-    return kept.coalesce(max(1, share, math.ceil(kept.count() / ROWS_PER_TASK)))
+def _tasks(kept: DataFrame, fit_partitions: int | None) -> DataFrame:
+    return kept if fit_partitions is None else kept.coalesce(fit_partitions)
 
 
 @dataclass(frozen=True)
@@ -85,16 +78,17 @@ def cross_validate(
     seed: int = 0,
     stratify: str | None = None,
     parallelism: int = 4,
+    fit_partitions: int | None = None,
 ) -> CrossValidation:
     """k-fold cross-validation over a grid; the best point is fitted again on all rows.
 
-    ``key`` identifies a row and decides its fold. The evaluator is the area under the ROC curve
-    unless given.
+    ``key`` identifies a row and decides its fold. The evaluator is the area under Spark's thinned ROC
+    curve unless given. ``fit_partitions`` lets a fit on a small table use fewer tasks.
     """
     evaluator = BinaryClassificationEvaluator() if evaluator is None else evaluator
     folded = assign_folds(df, key, k, seed, stratify, column="_fold").select("label", "features", "_fold")
     with persisted(folded) as kept:
-        data = _few_partitions(kept, parallelism)
+        data = _tasks(kept, fit_partitions)
 
         def trial(point: int, fold: int) -> Callable:
             def run() -> float:
@@ -179,6 +173,7 @@ def sampled_search(
     seed: int = 0,
     runs_root: str | None = None,
     parent_run_id: str | None = None,
+    fit_partitions: int | None = None,
 ) -> Search:
     """Fit one model per drawn parameter set and keep the one with the highest exact test AUC.
 
@@ -190,7 +185,7 @@ def sampled_search(
         persisted(train.select("label", "features")) as kept_train,
         persisted(test.select("label", "features")) as kept_test,
     ):
-        fit_rows, test_rows = (_few_partitions(t, parallelism) for t in (kept_train, kept_test))
+        fit_rows, test_rows = (_tasks(t, fit_partitions) for t in (kept_train, kept_test))
 
         def trial(number: int, params: dict[str, float]) -> Callable:
             def run() -> tuple[int, dict, float, Model]:

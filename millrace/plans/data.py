@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import spread
+from millrace.session import dealt
 from millrace.sources import table
 
 # Stand-in for an "unknown" marker in the given tables.
@@ -100,7 +100,7 @@ def order_rows(spark: SparkSession, sf: str) -> DataFrame:
     The label follows price and balance; one row in ten, chosen by hash, has it turned around.
     """
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
-    joined = spread(table(spark, sf, "orders")).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    joined = dealt(table(spark, sf, "orders"), ["o_orderkey"]).join(customers, F.col("o_custkey") == F.col("c_custkey"))
     clean = F.col("o_totalprice") + 20 * F.col("c_acctbal") > 340000
     noise = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 4), 16, 10).cast("int") % 10 == 0
     return joined.select(
@@ -124,7 +124,7 @@ GROUP_COLUMNS = ["o_orderstatus", "o_orderpriority"]
 def grouped_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with two category features and a 0/1 label from the price."""
     label = (F.col("o_totalprice") >= 250000).cast("double")
-    rows = spread(table(spark, sf, "orders"))
+    rows = dealt(table(spark, sf, "orders"), ["o_orderkey"])
     return rows.select("o_orderkey", *GROUP_COLUMNS, "o_totalprice", label.alias("label"))
 
 

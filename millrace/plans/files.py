@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import map_value
 from millrace.plans.registry import query
-from millrace.session import scratch_path, spread
+from millrace.session import dealt, scratch_path
 from millrace.sources import class_names, list_files, preview_lines, read_csv, read_image_folder, table
 
 
@@ -61,7 +61,7 @@ def csv_sep_cast(spark, sf):
 def _class_folders(spark, sf) -> str:
     """One small file per vector, below a folder per class."""
     path = scratch_path(spark, "classes")
-    rows = spread(table(spark, sf, "embeddings")).select(
+    rows = dealt(table(spark, sf, "embeddings").select("vec_id", "label"), ["vec_id"]).select(
         F.col("vec_id").cast("string").alias("value"), F.col("label").alias("class")
     )
     rows.write.partitionBy("class").option("maxRecordsPerFile", 1).text(path)

@@ -22,7 +22,7 @@ from millrace.plans.data import (
 )
 from millrace.plans.registry import query, rounded
 from millrace.plans.splitting import SEED
-from millrace.session import persisted, scratch_path, spread
+from millrace.session import dealt, persisted, scratch_path
 from millrace.sources import load_model, register, save_model, sql, table
 
 ALL_CATEGORIES_APART = 12  # depth that isolates 3 x 5 one-hot categories
@@ -64,7 +64,7 @@ def flagship(spark, sf):
     No order line has a key of its own, so the split goes by all columns. It is a projection, and the
     final scoring does not read it.
     """
-    lines = spread(table(spark, sf, "lineitem"))
+    lines = dealt(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
     labelled = lines.withColumn("label", (F.col("l_extendedprice") >= 50000).cast("double"))
     parts = split.split_exact(labelled, lines.columns, train=0.7, seed=SEED)
     pipeline = features.feature_pipeline(["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax"])

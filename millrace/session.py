@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -36,15 +35,13 @@ def local_session(cores: int | str = "*", app: str = "millrace", **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local session without the setting gets a temporary folder; a cluster must name one.
+    Where ``spark.checkpoint.dir`` is unset it is a folder in the warehouse, which all executors share too.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="millrace-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/millrace-scratch"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -55,14 +52,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/millrace-{uuid.uuid4().hex[:12]}/{name}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a freshly read table that has fewer partitions than the session has cores.
+def dealt(df: DataFrame, key: Sequence[str], partitions: int = 8) -> DataFrame:
+    """Deal rows out by a hash of their key, in the order of the key inside a partition.
 
-    One small file is one task otherwise. Tables with enough partitions stay as they are, so large
-    inputs are not shuffled.
+    Fits read rows in this order, so that their results don't follow the number of cores. Raise
+    ``partitions`` with the size of the table.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
 @contextmanager

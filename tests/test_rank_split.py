@@ -125,8 +125,28 @@ def test_copies_across_two_cuts(spark):
 
 def test_key_that_does_not_identify_rows(spark):
     df = spark.createDataFrame([(1, i) for i in range(100)], "k long, v long")
-    with pytest.raises(ValueError, match="share the key"):
-        split.split_exact(df, "k", train=0.5)
+    for frame in (df, df.union(df.filter("v < 30"))):
+        parts = split.split_exact(frame, "k", train=0.3)
+        n = frame.count()
+        sizes = {r["split"]: r["n"] for r in split.split_sizes(parts).collect()}
+        assert sizes == {"train": int(0.3 * n), "test": n - int(0.3 * n)}
+        assert sorted(r["v"] for r in parts.collect()) == sorted(r["v"] for r in frame.collect())
+    sizes = {r["split"]: r["n"] for r in split.split_sizes(split.split_counts(df, "k", 20, 30)).collect()}
+    assert sizes == {"train": 20, "validation": 30}
+
+
+@pytest.mark.parametrize("rows", [[("a|b", "c"), ("a", "b|c")], [(None, "x"), ("\\N", "x")], [("a\\", "b"), ("a", "\\b")]])
+def test_rows_with_like_texts(spark, rows):
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert {r["split"]: r["n"] for r in split.split_sizes(split.split_exact(df, train=0.5)).collect()} == {"train": 1, "test": 1}
+
+
+def test_stratified_folds_keep_rows(spark):
+    df = spark.createDataFrame([(i, [None, "\\N", "x"][i % 3]) for i in range(99)], "i long, c string")
+    folds = split.assign_folds(df, "i", 3, 1, stratify="c").collect()
+    assert sorted(r["i"] for r in folds) == list(range(99))
+    for c in (None, "\\N", "x"):
+        assert [sum(r["fold"] == f for r in folds if r["c"] == c) for f in range(3)] == [11, 11, 11]
 
 
 def test_sample_n(spark):
@@ -171,3 +191,12 @@ def test_hash_of_null_is_not_hash_of_text(spark):
     from millrace.functions import row_hash
 
     assert df.select(row_hash(["a"], 1).alias("h")).agg(F.countDistinct("h")).first()[0] == 2
+
+
+def test_infinity_in_quartiles(spark):
+    from millrace.operators import clean, profile
+
+    df = spark.createDataFrame([(float("inf"),)] * 4 + [(1.0,)], "v double")
+    fences = profile.iqr_fences(df, "v").first()
+    assert (fences["q1"], fences["q3"], fences["iqr"]) == (float("inf"), float("inf"), 0.0)
+    assert clean.drop_outliers(df, "v").count() == 4
