@@ -32,7 +32,7 @@ END_ID = 2
 #: Tokens in a file, about; a longer document makes a longer file.
 SHARD_TOKENS = 1 << 21
 #: Words whose ids a Python worker keeps.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 1_300_000
 
 # The steps before the model of a tokenizer that lower-cases and splits letters, digits and the rest.
 LOWER_WORDS = [
