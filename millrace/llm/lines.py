@@ -9,7 +9,7 @@ A line goes if an earlier line is equal or similar to it. In each group of lines
 compared with the earliest of the group; only lines that are still there after that are compared with all earlier ones.
 So a group of copies yields as many pairs as lines.
 
-Rarity is counted over all lines in a fixed number of buckets of word hashes. Any order of words gives the same result;
+Rarity is counted over all texts in a fixed number of buckets of word hashes. Any order of words gives the same result;
 the counts only make prefixes selective.
 """
 
@@ -30,10 +30,8 @@ LOW_BITS = 63 - BUCKET_BITS
 
 
 def _words(line: Column) -> Column:
-    """Distinct hashes of a line's words: runs of characters other than white space, in lower case."""
-    trimmed = F.regexp_replace(F.lower(line), r"^\s+|\s+$", "")
-    words = let(trimmed, lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"\s+")))
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    """A line's words, repeats included: runs of characters other than white space, in lower case."""
+    return F.array_remove(F.split(F.lower(line), r"\s+"), "")
 
 
 def _bucket(h: Column) -> Column:
@@ -46,8 +44,8 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def rarity(docs: DataFrame, text: str) -> Column:
     """The rank of each bucket of word hashes by how many words of lines it has; a fixed number of ranks."""
-    lines = docs.select(F.explode(F.split(F.coalesce(named(text).cast("string"), F.lit("")), "\n")).alias("content"))
-    words = lines.select(F.explode(_words(F.col("content"))).alias("h")).select(_bucket(F.col("h")).alias("bucket"))
+    words = docs.select(F.explode(_words(named(text).cast("string"))).alias("word"))
+    words = words.select(_bucket(F.xxhash64("word")).alias("bucket"))
     counts = {r["bucket"]: r["count"] for r in words.groupBy("bucket").count().collect()}
     order = sorted(range(1 << BUCKET_BITS), key=lambda b: (counts.get(b, 0), b))
     ranks = [0] * len(order)
@@ -57,9 +55,14 @@ def rarity(docs: DataFrame, text: str) -> Column:
 
 
 def _codes(line: Column, ranks: Column) -> Column:
-    """The words as sorted numbers, rare ones first: rank of the bucket above, hash below."""
+    """The distinct words as sorted numbers, rare ones first: rank of the bucket above, hash below."""
     low = F.lit((1 << LOW_BITS) - 1)
-    return F.sort_array(F.transform(_words(line), lambda h: F.shiftleft(F.get(ranks, _bucket(h)), LOW_BITS).bitwiseOR(h.bitwiseAND(low))))
+
+    def code(word: Column) -> Column:
+        h = F.xxhash64(word)
+        return F.shiftleft(F.coalesce(F.get(ranks, _bucket(h)), F.lit(0)), LOW_BITS).bitwiseOR(h.bitwiseAND(low))
+
+    return F.sort_array(F.array_distinct(F.transform(_words(line), code)))
 
 
 def _least_common(n1: str, n2: str, percent: int) -> Column:
