@@ -106,11 +106,9 @@ def repeated_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         F.slice(codes, 1, (F.size(codes) - F.ceil(F.size(codes) * percent / 100) + 1).cast("int")).alias("prefix"),
     ))
     rows = _lines(docs, doc_id, text).filter("doc IS NOT NULL").select("doc", "line", sketch.alias("x"))
-    rows = rows.select("doc", "line", "x.n", "x.bits", F.posexplode("x.prefix").alias("pos", "word"))
-    shared = rows.groupBy("word").agg(F.count("*").alias("c")).filter("c > 1").select("word")
-    rows = written(rows.join(shared, "word", "left_semi"), "prefixes")
+    rows = written(rows.select("doc", "line", "x.n", "x.bits", F.posexplode("x.prefix").alias("pos", "word")), "prefixes")
 
-    first = rows.groupBy("word").agg(F.min(F.struct("doc", "line", "n", "pos", "bits")).alias("f"))
+    first = rows.groupBy("word").agg(F.count("*").alias("c"), F.min(F.struct("doc", "line", "n", "pos", "bits")).alias("f")).filter("c > 1")
     first = first.select("word", *[F.col(f"f.{c}").alias(f"f{c}") for c in ("doc", "line", "n", "pos", "bits")])
     earlier = F.struct("fdoc", "fline") < F.struct("doc", "line")
     pairs = rows.join(first, "word").filter(earlier & _may_match(percent)).select("doc", "line", "fdoc", "fline").distinct()
