@@ -18,6 +18,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def is_missing(df: DataFrame, name: str) -> Column:
     """NULL, or NaN in a floating column (a data frame library sees both as missing)."""
     c = F.col(f"`{name}`")

@@ -2,6 +2,9 @@
 
 Class metrics start from one count per (label, prediction); curve metrics from one count per
 distinct score. Both counts are combined before the shuffle, so a hot class or score is no burden.
+
+In accuracy, F1 and the report a NULL prediction is a wrong answer and no class of its own. Rows without a
+label are left out.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import quoted
 from millrace.operators.rank import bucketizer, running_totals
 
 MACRO, WEIGHTED, ACCURACY = "macro avg", "weighted avg", "accuracy"
@@ -17,7 +21,7 @@ MACRO, WEIGHTED, ACCURACY = "macro avg", "weighted avg", "accuracy"
 
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """``label, prediction, n``"""
-    pair = [F.col(label).alias("label"), F.col(prediction).alias("prediction")]
+    pair = [quoted(label).alias("label"), quoted(prediction).alias("prediction")]
     return pred.groupBy(*pair).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -30,7 +34,7 @@ def per_class(pred: DataFrame, label: str = "label", prediction: str = "predicti
 
     A ratio with nothing to divide by is 0.
     """
-    counts = confusion_matrix(pred, label, prediction)
+    counts = confusion_matrix(pred, label, prediction).filter(F.col("label").isNotNull())
     seen = F.array(
         F.struct(
             F.col("label").alias("class"),
@@ -48,6 +52,7 @@ def per_class(pred: DataFrame, label: str = "label", prediction: str = "predicti
     sums = (
         counts.select(F.explode(seen).alias("s"))
         .select("s.*")
+        .filter(F.col("class").isNotNull())
         .groupBy("class")
         .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
     )
@@ -106,8 +111,8 @@ def report_lines(report: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    same = (F.col(label) == F.col(prediction)).cast("int")
-    return pred.agg(F.avg(same).alias("accuracy"))
+    same = quoted(label).eqNullSafe(quoted(prediction)).cast("int")
+    return pred.filter(quoted(label).isNotNull()).agg(F.avg(same).alias("accuracy"))
 
 
 def f1_weighted(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -56,25 +56,28 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, most frequent first; NULL is left out."""
     known = df.filter(_q(column).isNotNull())
-    counted = known.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counted.orderBy(F.desc("n"), F.col(column))
+    counted = known.groupBy(_q(column)).agg(F.count(F.lit(1)).alias("n"))
+    return counted.orderBy(F.desc("n"), _q(column))
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     """Rows per key combination, ordered by the keys."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).orderBy(*keys)
+    names = [_q(k) for k in keys]
+    return df.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).orderBy(*names)
 
 
 def group_stats(df: DataFrame, key: str, column: str, approx: bool = False) -> DataFrame:
     """Mean, median, max and min per group (exact median unless ``approx``)."""
-    known = df.filter(_q(key).isNotNull() & ~is_missing(df, column))
-    stats = [F.avg(_q(column)).alias("mean"), F.max(_q(column)).alias("max"), F.min(_q(column)).alias("min")]
+    known = df.filter(_q(key).isNotNull() & ~is_missing(df, column)).select(_q(key).alias("_key"), _q(column).alias("_v"))
+    stats = [F.avg("_v").alias("mean"), F.max("_v").alias("max"), F.min("_v").alias("min")]
     if approx:
-        median = F.percentile_approx(_q(column).cast("double"), 0.5, APPROX_ACCURACY).alias("median")
-        return known.groupBy(key).agg(*stats, median).select(key, "mean", "median", "max", "min")
-    medians = exact_quantiles(known, column, [0.5], by=[key])
-    medians = medians.select(key, F.col("quantiles")[0].alias("median"))
-    return known.groupBy(key).agg(*stats).join(medians, key).select(key, "mean", "median", "max", "min")
+        median = F.percentile_approx(F.col("_v").cast("double"), 0.5, APPROX_ACCURACY).alias("median")
+        found = known.groupBy("_key").agg(*stats, median)
+    else:
+        medians = exact_quantiles(known, "_v", [0.5], by=["_key"])
+        medians = medians.select("_key", F.col("quantiles")[0].alias("median"))
+        found = known.groupBy("_key").agg(*stats).join(medians, "_key")
+    return found.select(F.col("_key").alias(key), "mean", "median", "max", "min")
 
 
 def quartiles(df: DataFrame, column: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
@@ -132,24 +135,25 @@ def box_stats(
     df: DataFrame, column: str, by: str | None = None, k: float = 1.5, approx: bool = False
 ) -> DataFrame:
     """Box-plot data: quartiles, whiskers (furthest values inside the fences), outlier count."""
-    known = df.filter(~is_missing(df, column))
-    keys = [by] if by else []
-    value = _q(column).cast("double").alias("_v")
-    fences = _fences(quartiles(known, column, keys, approx), k)
+    keys = ["_by"] if by else []
+    group = [_q(by).alias("_by")] if by else []
+    known = df.filter(~is_missing(df, column)).select(*group, _q(column).cast("double").alias("_v"))
+    fences = _fences(quartiles(known, "_v", keys, approx), k)
     if by:
         # The join side has one row per group; Spark broadcasts it only when it is measured small.
-        both = known.select(by, value).join(fences, by)
+        both = known.join(fences, "_by")
     else:
         # One row, found first, then repeated as literals.
         found = fences.first()
         numbers = found.asDict() if found else dict.fromkeys(fences.columns)
-        both = known.select(value, *[F.lit(v).cast("double").alias(n) for n, v in numbers.items()])
+        both = known.select("_v", *[F.lit(v).cast("double").alias(n) for n, v in numbers.items()])
     inside = F.col("_v").between(F.col("lower"), F.col("upper"))
-    return both.groupBy(*keys, "q1", "median", "q3").agg(
+    found = both.groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"),
     )
+    return found.withColumnRenamed("_by", by) if by else found
 
 
 def pair_bins(df: DataFrame, columns: Sequence[str], hue: str, bins: int = 10) -> DataFrame:
@@ -173,10 +177,10 @@ def pair_bins(df: DataFrame, columns: Sequence[str], hue: str, bins: int = 10) -
         at = F.floor((_q(columns[i]).cast("double") - F.lit(low)) / F.lit((high - low) / bins))
         return F.least(at, F.lit(bins - 1)).cast("int").alias(f"_b{i}")
 
-    binned = complete.select(hue, F.lit(1).cast("long").alias("_n"), *[bin_of(i) for i in range(len(columns))])
+    binned = complete.select(_q(hue).alias("_hue"), F.lit(1).cast("long").alias("_n"), *[bin_of(i) for i in range(len(columns))])
     if bins ** len(columns) <= DENSE_CELLS:
         cells = [f"_b{i}" for i in range(len(columns))]
-        binned = binned.groupBy(hue, *cells).agg(F.sum("_n").alias("_n"))
+        binned = binned.groupBy("_hue", *cells).agg(F.sum("_n").alias("_n"))
     pairs = [
         F.struct(
             F.lit(columns[i]).alias("x_col"),
@@ -187,8 +191,9 @@ def pair_bins(df: DataFrame, columns: Sequence[str], hue: str, bins: int = 10) -
         for i in range(len(columns))
         for j in range(i, len(columns))
     ]
-    spread = binned.select(hue, "_n", F.explode(F.array(*pairs)).alias("p"))
-    return spread.groupBy(hue, "p.x_col", "p.y_col", "p.x_bin", "p.y_bin").agg(F.sum("_n").alias("n"))
+    spread = binned.select("_hue", "_n", F.explode(F.array(*pairs)).alias("p"))
+    counted = spread.groupBy("_hue", "p.x_col", "p.y_col", "p.x_bin", "p.y_bin").agg(F.sum("_n").alias("n"))
+    return counted.withColumnRenamed("_hue", hue)
 
 
 def _any_missing(df: DataFrame, columns: Sequence[str]) -> Column:

@@ -7,6 +7,7 @@ from millrace.plans import (  # noqa: F401
     evaluating,
     files,
     modeling,
+    planted,
     profiling,
     splitting,
     tracking,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from millrace.operators import features
@@ -110,9 +111,9 @@ def feature_slots(spark, sf):
     rows = order_rows(spark, sf)
     prepared = features.prepare(rows, features.feature_pipeline(ORDER_CATEGORIES, ORDER_NUMBERS))
     names = F.array(*[F.lit(n) for n in features.feature_names(prepared)])
-    slots = prepared.select(F.posexplode(vector_to_array("features")).alias("position", "value"))
-    means = slots.groupBy("position").agg(F.avg("value").alias("mean"))
-    named = means.select("position", F.get(names, F.col("position")).alias("name"), "mean")
+    means = prepared.agg(vector_to_array(Summarizer.mean(F.col("features"))).alias("means"))
+    slots = means.select(F.posexplode("means").alias("position", "mean"))
+    named = slots.select("position", F.get(names, F.col("position")).alias("name"), "mean")
     return rounded(named, "mean")
 
 

@@ -139,3 +139,13 @@ def test_reports(spark):
     assert clean.preview(df, 1, ["n"]).first()["n"] == 1
     x, y = clean.features_and_label(df, "a")
     assert (x.columns, y.columns) == (["n"], ["a"])
+
+
+def test_names_with_dots(spark):
+    rows = spark.createDataFrame([("x", 1.0, 2.0), ("x", 3.0, 1.0), ("y", 5.0, 0.0)], "`a.b` string, `c.d` double, e double")
+    assert [tuple(r) for r in profile.value_counts(rows, "a.b").collect()] == [("x", 2), ("y", 1)]
+    assert [tuple(r) for r in profile.count_by(rows, "a.b").collect()] == [("x", 2), ("y", 1)]
+    assert sorted(tuple(r) for r in profile.group_stats(rows, "a.b", "c.d").collect()) == [("x", 2, 2, 3, 1), ("y", 5, 5, 5, 5)]
+    boxes = profile.box_stats(rows, "c.d", by="a.b")
+    assert sorted(r["a.b"] for r in boxes.collect()) == ["x", "y"]
+    assert profile.pair_bins(rows, ["c.d", "e"], "a.b").columns[0] == "a.b"

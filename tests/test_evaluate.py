@@ -130,3 +130,15 @@ def test_confusion_and_mse(spark):
     pred = spark.createDataFrame([(1.0, 3.0), (2.0, 2.0), (2.0, 2.0)], "label double, prediction double")
     assert {tuple(r) for r in evaluate.confusion_matrix(pred).collect()} == {(1.0, 3.0, 1), (2.0, 2.0, 2)}
     assert evaluate.mse(pred).first()[0] == pytest.approx(4 / 3)
+
+
+def test_missing_predictions_are_wrong_answers(spark):
+    rows = [(1.0, 1.0), (0.0, 0.0), (1.0, None), (0.0, 1.0), (None, 1.0)]
+    pred = spark.createDataFrame(rows, "`the.label` double, prediction double")
+    assert evaluate.accuracy(pred, "the.label").first()["accuracy"] == 0.5
+    metrics = evaluate.class_metrics(pred, "the.label").first()
+    assert metrics["accuracy"] == 0.5
+    assert metrics["f1"] == evaluate.f1_weighted(pred, "the.label").first()["f1"]
+    report = {r["name"]: r for r in evaluate.classification_report(pred, "the.label").collect()}
+    assert set(report) == {"0.0", "1.0", "accuracy", "macro avg", "weighted avg"}
+    assert report["accuracy"]["f1"] == 0.5 and abs(report["macro avg"]["recall"] - 0.5) < 1e-9
