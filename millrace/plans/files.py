@@ -97,6 +97,43 @@ def image_folder(spark, sf):
     return rows.select(content.alias("content"), "class_name", "label")
 
 
+_BMP_SIZES = {"width": "vec_id % 5 + 1", "height": "vec_id % 3 + 1", "shade": "vec_id % 90 + 20"}
+
+
+@query(
+    "image_decoded",
+    f"""SELECT label, nChannels, count(*) AS n, sum(width)::BIGINT AS width, sum(height)::BIGINT AS height,
+        sum(3 * width * height)::BIGINT AS bytes, sum(shade)::BIGINT AS shade
+    FROM (SELECT label, 3 AS nChannels, {", ".join(f"{e} AS {c}" for c, e in _BMP_SIZES.items())} FROM embeddings)
+    GROUP BY label, nChannels""",
+)
+def image_decoded(spark, sf):
+    """Decoded pictures of a labelled folder: one plain bitmap for every vector, its size and shade from the id.
+
+    All bytes of these bitmaps are below 128 (54 of header and 48 of pixels at most), so the text sink can write them.
+    """
+    path = scratch_path(spark, "bitmaps")
+    rows = dealt(table(spark, sf, "embeddings").select("vec_id", "label"), ["vec_id"])
+    rows = rows.select(F.col("label").alias("class"), *[F.expr(e).cast("int").alias(c) for c, e in _BMP_SIZES.items()])
+    number = lambda c: F.concat(F.char(c), F.lit("\0\0\0"))
+    size = (4 * F.ceil(3 * F.col("width") / 4) * F.col("height")).cast("int")  # lines end at multiples of four bytes
+    header = F.concat(
+        F.lit("BM"), number(size + 54), F.lit("\0" * 4), number(F.lit(54)), number(F.lit(40)), number(F.col("width")),
+        number(F.col("height")), F.lit("\x01\0\x18\0" + "\0" * 24),
+    )
+    pixels = F.repeat(F.char("shade"), size)
+    bitmaps = rows.select(F.concat(header, pixels).alias("value"), "class")
+    bitmaps.write.partitionBy("class").option("maxRecordsPerFile", 1).text(path)
+
+    names = class_names(spark, path, "*.txt")
+    pictures = read_image_folder(spark, path, pattern="*.txt", names=names)
+    shade = F.conv(F.hex(F.substring("image.data", 1, 1)), 16, 10).cast("long")
+    totals = {"width": F.col("image.width"), "height": F.col("image.height"), "bytes": F.length("image.data"), "shade": shade}
+    return pictures.groupBy("label", "image.nChannels").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(e).alias(c) for c, e in totals.items()]
+    )
+
+
 @query("csv_labels", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS status FROM orders")
 def csv_labels(spark, sf):
     """Headerless CSV to renamed columns to a mapped 0/1 label."""
