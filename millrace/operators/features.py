@@ -31,13 +31,14 @@ def category_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MAX
     return {c: sorted(values) for c, values in levels.items()}
 
 
-def dummies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def dummies(df: DataFrame, columns: Sequence[str] | None = None, max_levels: int = MAX_DUMMY_COLUMNS) -> DataFrame:
     """One 0/1 column ``<column>_<value>`` per level of each text column; NULL gives all zeros.
 
-    The other columns come first and stay as they are. No pivot, no shuffle of the table.
+    The other columns come first and stay as they are. No pivot, no shuffle of the table. More than
+    ``max_levels`` levels in all are an error.
     """
     columns = columns_of(df, "string") if columns is None else list(columns)
-    levels = category_levels(df, columns)
+    levels = category_levels(df, columns, max_levels)
     kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
     flags = [
         F.coalesce((F.col(f"`{c}`") == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")

@@ -19,12 +19,14 @@ def _files(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
     return reader.load(path)
 
 
-def class_names(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
-    """Sorted sub-folder names; the position of a name is its class id."""
+def class_names(
+    spark: SparkSession, path: str, pattern: str | None = None, max_classes: int = MAX_CLASSES
+) -> list[str]:
+    """Sorted sub-folder names; the position of a name is its class id. More than ``max_classes`` are an error."""
     names = _files(spark, path, pattern).select(_parent_folder(F.col("path")).alias("c")).distinct()
-    rows = names.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} class folders below {path}")
+    rows = names.limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"more than {max_classes} class folders below {path}")
     return sorted(r["c"] for r in rows)
 
 
