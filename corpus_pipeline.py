@@ -33,8 +33,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by their raked probabilities."""
-    drawn = mixing.document_mix(docs).filter("sampled")
+    """Documents drawn by their raked rates; those with a rate above one come up more than once."""
+    drawn = mixing.document_mix(docs).filter("copies > 0")
+    drawn = drawn.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return drawn.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

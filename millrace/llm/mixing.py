@@ -3,7 +3,7 @@
 Token counts are summed by cell (one value of each dimension: source, language, topic). Rounds of raking scale the cell
 weights to each dimension's target shares in turn, until all marginals hold together. A document's rate is its cell's
 weight over its cell's share of tokens; documents are drawn with a probability in proportion to it, by a hash of their
-ids, and carry the weight that makes up for rates above one.
+ids, and carry the weight that makes up for rates above one, or the number of copies to write instead.
 
 Documents are read twice (sums, draw); all rounds work on the table of cells.
 """
@@ -97,11 +97,12 @@ def mix(docs: DataFrame, dimensions: Mapping[str, Column], n_tokens: Column, *,
         targets: Mapping[str, DataFrame] | None = None, temperature: float = TEMPERATURE, budget: float = BUDGET,
         rounds: int = ROUNDS, seed: str = "", keep=None) -> DataFrame:
     """Every row with its draw: ``row`` (kept columns of docs, default all), the dimensions, ``n_tokens``,
-    ``probability``, ``sampled`` and ``weight``.
+    ``probability``, ``sampled``, ``weight`` and ``copies``.
 
     ``probability`` is ``budget`` times the cell's raked share over its token share, 1 at most; ``weight`` is the rate
-    over the probability, 1 but for rates above 1, so that weighted draws meet the targets on average. A dimension
-    without a target in ``targets`` gets tempered shares.
+    over the probability, 1 but for rates above 1, so that weighted draws meet the targets on average. ``copies`` is for
+    output without weights: the whole part of the rate, and one more by the hash for the rest, so it is at least 1 for
+    sampled rows and 0 for others. A dimension without a target in ``targets`` gets tempered shares.
 
     Null is a value of a dimension like any other. Rows without tokens add nothing to a cell; in a cell without any
     tokens the probability is 0. Repeated rows are drawn together. Extra columns pass through.
@@ -120,7 +121,11 @@ def mix(docs: DataFrame, dimensions: Mapping[str, Column], n_tokens: Column, *,
     rates = raked.select(*dims, rate.alias("rate"))
     drawn = _joined(rows, rates, dims).withColumn("probability", F.least(F.lit(1.0), "rate"))
     weight = F.when(F.col("rate") > 1, F.col("rate")).otherwise(1.0)
-    return drawn.select("row", *dims, "n_tokens", "probability", (F.col("u") < F.col("probability")).alias("sampled"), weight.alias("weight"))
+    copies = F.floor("rate") + (F.col("u") < F.col("rate") - F.floor("rate")).cast("long")
+    return drawn.select(
+        "row", *dims, "n_tokens", "probability", (F.col("u") < F.col("probability")).alias("sampled"), weight.alias("weight"),
+        copies.alias("copies"),
+    )
 
 
 def document_mix(docs: DataFrame, *, text: str = "text", source: str = "source", lang: str = "lang", **options) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 
+from millrace.llm import mixing
 from millrace.llm.tables import written
 
 
@@ -18,3 +19,14 @@ def test_stages(spark, sf):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert last.count() == sizes[-1]
     assert corpus_pipeline.run(spark, sf).count() == sizes[-1]
+
+
+def test_drawn_shares_meet_targets(spark):
+    rows = [(i, " ".join(["word"] * 50), "en", "rare" if i % 50 == 0 else "usual") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    drawn = [r.source for r in corpus_pipeline.mixing_stage(spark, docs, "").collect()]
+    raised = {"rare": 0.02 ** mixing.TEMPERATURE, "usual": 0.98 ** mixing.TEMPERATURE}
+    for source, r in raised.items():  # all texts have one length, and the other dimensions one value
+        share = r / sum(raised.values())
+        assert abs(drawn.count(source) / len(drawn) - share) < 0.05 * share
+    assert abs(len(drawn) / 4000 - mixing.BUDGET) < 0.02
