@@ -10,6 +10,7 @@ Documents are read twice (sums, draw); all rounds work on the table of cells.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +19,12 @@ from pyspark.sql import functions as F
 from millrace.llm.arrow import named, whole_row
 from millrace.llm.tables import written
 
-#: Rounds of raking; each one goes through all dimensions.
+#: Rounds of raking at least; each one goes through all dimensions. More follow until TOLERANCE holds.
 ROUNDS = 8
+#: Largest gap between a raked share and its target, relative to the target, at which raking ends.
+TOLERANCE = 1e-3
+#: Raking ends with a warning where so many rounds in turn don't bring the largest gap down by a hundredth.
+STALLED_ROUNDS = 5
 #: Share of tokens to draw, were no rate above one.
 BUDGET = 0.7
 #: Target shares are shares of tokens to this power, where none are given: below 1 lifts small values.
@@ -72,8 +77,22 @@ def _share(raised: DataFrame, dimension: str) -> DataFrame:
     return raised.select(dimension, (F.col("_raised") / F.lit(total)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """The cells with ``weight``, whose sums by each dimension are the target shares (up to convergence).
+def largest_gap(cells: DataFrame, targets: Mapping[str, DataFrame]) -> tuple[float, str]:
+    """The largest gap of summed weights to target shares above 0, relative to the target, and its dimension."""
+    gaps = []
+    for name, target in targets.items():
+        sums = _joined(target.filter("share > 0"), cells.groupBy(name).agg(F.sum("weight").alias("have")), [name], "left")
+        gap = F.max(F.abs(F.coalesce("have", F.lit(0.0)) / F.col("share") - 1))
+        gaps.append(sums.agg(F.coalesce(gap, F.lit(0.0)).alias("gap"), F.lit(name).alias("name")))
+    rows = [row for gap in gaps for row in gap.collect()]
+    return max(((r["gap"], r["name"]) for r in rows), default=(0.0, ""))
+
+
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """The cells with ``weight``, whose sums by each dimension are the target shares within ``tolerance``.
+
+    At least ``rounds`` rounds are made, and more until the largest relative gap to any target is within ``tolerance``.
+    Targets that no weights meet together are reported by a warning with the gap that stays; the last dimension's hold.
 
     ``cells`` has a column for each dimension and ``mass``; a target has the dimension's value and ``share``. Values
     without a target, and cells without mass, get weight 0. Targets for values that no cell has are left out, and the
@@ -85,7 +104,17 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     for name, target in targets.items():
         there = _joined(target.withColumnRenamed("share", "_raised"), cells.filter("mass > 0").select(name).distinct(), [name], "left_semi")
         fixed[name] = written(_share(there, name), "targets")
-    for _ in range(rounds):
+    made, stalled, least = 0, 0, float("inf")
+    while fixed:
+        if made >= rounds:
+            gap, where = largest_gap(now, fixed)
+            if gap <= tolerance:
+                break
+            least, stalled = (gap, 0) if gap < 0.99 * least else (least, stalled + 1)
+            if stalled >= STALLED_ROUNDS:
+                warnings.warn(f"targets can't be met together: {where} is off by {gap:.2%} of a target after {made} rounds", stacklevel=2)
+                break
+        made += 1
         for name, target in fixed.items():
             sums = _joined(now.groupBy(name).agg(F.sum("weight").alias("have")), target, [name], "left")
             scale = sums.select(name, F.when(F.col("have") > 0, F.coalesce("share", F.lit(0.0)) / F.col("have")).otherwise(0.0).alias("scale"))
@@ -95,7 +124,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
 
 def mix(docs: DataFrame, dimensions: Mapping[str, Column], n_tokens: Column, *, doc_id: str = "doc_id",
         targets: Mapping[str, DataFrame] | None = None, temperature: float = TEMPERATURE, budget: float = BUDGET,
-        rounds: int = ROUNDS, seed: str = "", keep=None) -> DataFrame:
+        rounds: int = ROUNDS, tolerance: float = TOLERANCE, seed: str = "", keep=None) -> DataFrame:
     """Every row with its draw: ``row`` (kept columns of docs, default all), the dimensions, ``n_tokens``,
     ``probability``, ``sampled``, ``weight`` and ``copies``.
 
@@ -115,7 +144,7 @@ def mix(docs: DataFrame, dimensions: Mapping[str, Column], n_tokens: Column, *,
     cells = written(rows.groupBy(*dims).agg(F.sum("n_tokens").cast("double").alias("mass")), "cells")
     targets = {d: (targets or {}).get(d) for d in dims}
     targets = {d: tempered(cells, d, temperature) if t is None else t for d, t in targets.items()}
-    raked = rake(cells, targets, rounds)
+    raked = rake(cells, targets, rounds, tolerance)
     mass = cells.agg(F.sum("mass")).head()[0] or 0.0
     rate = F.when(F.col("mass") > 0, F.lit(budget) * F.col("weight") / (F.col("mass") / F.lit(mass or 1.0))).otherwise(0.0)
     rates = raked.select(*dims, rate.alias("rate"))

@@ -378,6 +378,25 @@ def test_mixing(spark, sf, small, odd_rows):
             assert abs(sum(r.weight for r in raked if r[name] == value) - share) < 1e-6
 
 
+def test_raking_goes_on_until_targets_hold(spark):
+    # Sources of nearly one language each: 8 rounds leave a source 2% off.
+    own = {"a": ("x", 34.0), "b": ("x", 9.0), "c": ("y", 15.0), "d": ("y", 6.0), "e": ("z", 20.0)}
+    rows = [(s, t, m * (0.94 if t == home else 0.03)) for s, (home, m) in own.items() for t in "xyz"]
+    cells = spark.createDataFrame(rows, "s string, t string, mass double")
+    targets = {d: mixing.tempered(cells, d) for d in ("s", "t")}
+    raked = mixing.rake(cells, targets).collect()
+    for name, target in targets.items():
+        for value, share in target.collect():
+            assert abs(sum(r.weight for r in raked if r[name] == value) / share - 1) <= mixing.TOLERANCE
+
+
+def test_raking_reports_targets_that_cannot_hold(spark):
+    cells = spark.createDataFrame([("a", "x", 6.0), ("b", "x", 1.0), ("c", "y", 3.0)], "s string, t string, mass double")
+    with pytest.warns(UserWarning, match="can't be met together: s is off"):
+        raked = mixing.rake(cells, {d: mixing.tempered(cells, d) for d in ("s", "t")}, rounds=1).collect()
+    assert abs(sum(r.weight for r in raked) - 1) < 1e-9
+
+
 def test_native_plans(spark, sf):
     for name in ("op1_lines", "op2_winnow", "op3_secrets"):
         plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
