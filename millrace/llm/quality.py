@@ -3,7 +3,8 @@
 Every pair sets a document of label 1 against one of label 0. The model says that document i is preferred to j
 with probability ``sigmoid(w . (x_i - x_j))``; ``w`` is fitted by logistic loss on feature differences (no
 intercept, as it cancels out). A document's strength is ``w . x``, which needs no pair. The cut is the quantile of
-the training strengths at the share of label 0; scores are strengths mapped to 0..1 with the cut at ``CUT``.
+the strengths at the share of label 0, over all labelled rows outside the held-out ones, also where the fit takes a
+sample of them; scores are strengths mapped to 0..1 with the cut at ``CUT``.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import types as T
 
 from millrace.llm import words as W
 from millrace.llm.arrow import map_text, named
+from millrace.llm.tables import written
+from millrace.operators.rank import exact_quantiles
 
 #: Labelled rows that a fit uses, about, at most; a hash of the id chooses them.
 SAMPLE = 20_000
@@ -49,6 +52,7 @@ FEATURES = (
 )
 VECTOR = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType()))])
 SCORE = T.StructType([T.StructField("score", T.DoubleType())])
+STRENGTH = T.StructType([T.StructField("strength", T.DoubleType())])
 
 
 class QualityModel(NamedTuple):
@@ -133,9 +137,13 @@ def fit_pairs(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, seed: int =
     return QualityModel(w, means, scales, float((strength[k - 1] + strength[k]) / 2))
 
 
+def strengths(model: QualityModel, x: np.ndarray) -> np.ndarray:
+    return ((x - model.means) / model.scales) @ model.weights
+
+
 def scores(model: QualityModel, x: np.ndarray) -> np.ndarray:
     """Scores between 0 and 1; CUT at the model's cut."""
-    strength = ((x - model.means) / model.scales) @ model.weights - model.cut
+    strength = strengths(model, x) - model.cut
     return 1 / (1 + np.exp(-np.clip(strength + np.log(CUT / (1 - CUT)), -500, 500)))
 
 
@@ -148,13 +156,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
                 sample: int = SAMPLE, pairs: int = PAIRS, seed: int = 1) -> QualityModel:
     """Learn from labelled documents outside the held-out rows.
 
-    About ``sample`` labelled rows are used, chosen by a hash of their ids (all, if there are fewer). Labels other
-    than 0 and 1 are ignored. A repeated id counts as often as it is there.
+    About ``sample`` labelled rows are used for the weights, chosen by a hash of their ids (all, if there are fewer); the
+    cut comes from all of them. Labels other than 0 and 1 are ignored. A repeated id counts as often as it is there.
     """
-    marked = labels.select(named(doc_id).alias("id"), named(label).cast("int").alias("label"))
-    marked = marked.filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    share = min(1.0, sample / max(1, marked.count()))
-    marked = marked.filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    every = labels.select(named(doc_id).alias("id"), named(label).cast("int").alias("label"))
+    every = every.filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
+    share = min(1.0, sample / max(1, every.count()))
+    marked = every.filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
     mine = docs.select(named(doc_id).alias("id"), named(text).alias("text"))
     # At most about `sample` small rows are broadcast and collected.
     used = mine.join(F.broadcast(marked), "id").select("id", "label", "text")
@@ -162,7 +170,23 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
     got = rows.select("row.id", "row.label", F.col("found.x").alias("x")).toArrow().to_pandas()
     got = got.assign(key=[tuple(v) for v in got["x"]]).sort_values(["id", "label", "key"])  # one order for any partitioning
     x = np.array(got["x"].tolist(), dtype=float).reshape(-1, len(FEATURES))
-    return fit_pairs(x, got["label"].to_numpy(), pairs, seed)
+    model = fit_pairs(x, got["label"].to_numpy(), pairs, seed)
+    return model._replace(cut=_whole_cut(mine, every, model)) if share < 1 and model.weights.any() else model
+
+
+def _whole_cut(docs: DataFrame, marked: DataFrame, model: QualityModel) -> float:
+    """The strength halfway between the ranks at the number of rows of label 0, over all labelled documents.
+
+    Documents are scored before the join, so that ids and strengths are shuffled at most, no texts.
+    """
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        return [pa.array(strengths(model, text_features(texts)))]
+
+    scored = map_text(docs, F.col("text"), STRENGTH, run, ["id"]).select("row.id", "found.strength")
+    rows = written(scored.join(marked, "id").select("label", "strength"), "strengths")
+    n, zeros = rows.agg(F.count("*"), F.count(F.when(F.col("label") == 0, 1))).head()
+    return exact_quantiles(rows, "strength", [(zeros - 0.5) / (n - 1)]).head()["quantiles"][0]
 
 
 def _vectors(texts: pa.Array) -> list[pa.Array]:

@@ -174,6 +174,20 @@ def test_quality(spark, sf, small, odd_rows, documents):
     assert quality.score_quality(small(odd_rows), none).filter(F.col("found.score") >= quality.CUT).count() == len(odd_rows)
 
 
+def test_quality_cut_covers_all_labels(spark, sf):
+    sf10 = sf.replace("sf0.001", "sf0.01")
+    docs, labels = (spark.read.parquet(f"{sf10}/{name}.parquet") for name in ("documents", "labels"))
+    model = quality.fit_quality(docs, labels, sample=100)
+    rows = docs.join(labels, "doc_id").filter(~quality.held_out(F.col("doc_id"))).select("text", "quality").collect()
+    import pyarrow as pa
+
+    x = quality.text_features(pa.array([r.text for r in rows], pa.string()))
+    strength = np.sort(((x - model.means) / model.scales) @ model.weights)
+    k = sum(r.quality == 0 for r in rows)
+    assert len(rows) > 150  # more than the sample
+    assert abs(model.cut - (strength[k - 1] + strength[k]) / 2) < 1e-9
+
+
 def test_held_out(spark):
     rows = spark.range(200).select("id", quality.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
