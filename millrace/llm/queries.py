@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, langid, lines, minhash, mixing, quality, secrets, substrings, tokens, winnow
+from millrace.llm import decontaminate, langid, linerules, lines, minhash, mixing, prefixtrie, quality, secrets, substrings, tokens, whitening, winnow
 from millrace.llm.mixing_sql import mixing_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,35 @@ def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op13_rules")
+def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts of all documents, and which of them stay when failing lines are taken out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_removed", "lost_chars")
+    return linerules.clean_lines(docs, with_text=False, keep=["doc_id"]).select(
+        "row.doc_id", *[f"found.{c}" for c in counts], linerules.base_failed().alias("base_failed"), linerules.is_kept().alias("kept")
+    )
+
+
+@query("op12_trie")
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt with shared first turns."""
+    return prefixtrie.prefix_trie(prefixtrie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query("op11_whiten")
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings along their principal components, one row for each of up to 16 components."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit_whitening(rows)
+    out = whitening.whiten(rows, model, keep=["vec_id"])
+    n, total, error = (model.n, model.total, model.identity_error) if model else (0, 0.0, 0.0)
+    shares = [float(e / total) for e in model.variances] if model else []
+    out = out.select("row.vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    share = F.get(F.array(*[F.lit(x) for x in shares]).cast("array<double>"), F.col("at"))
+    return out.select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened",
+        share.alias("explained"), F.lit(error).alias("identity_error"),
+    )
