@@ -23,9 +23,17 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh_name(columns: Sequence[str], name: str) -> str:
+    """A name that no column has, in any case of its letters: the given one, with underscores before it if need be."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def is_missing(df: DataFrame, name: str) -> Column:
     """NULL, or NaN in a floating column (a data frame library sees both as missing)."""
-    c = F.col(f"`{name}`")
+    c = quoted(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
         return c.isNull() | F.isnan(c)
     return c.isNull()
@@ -68,7 +76,7 @@ def row_hash(columns: Sequence[str], seed: int) -> Column:
     Different rows have different texts: bars and backslashes inside a value are escaped, and NULL is a
     bare ``\\N``.
     """
-    parts = [value_text(F.col(f"`{c}`")) for c in columns]
+    parts = [value_text(quoted(c)) for c in columns]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import quoted
-from millrace.operators.rank import bucketizer, running_totals
+from millrace.operators.rank import ROWS_PER_TASK, running_totals
 
 MACRO, WEIGHTED, ACCURACY = "macro avg", "weighted avg", "accuracy"
 
@@ -132,22 +132,19 @@ def class_metrics(pred: DataFrame, label: str = "label", prediction: str = "pred
 
 
 def mse(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return pred.agg(F.avg(F.pow(F.col(label) - F.col(prediction), 2)).alias("mse"))
+    return pred.agg(F.avg(F.pow(quoted(label) - quoted(prediction), 2)).alias("mse"))
 
 
 # ---- curves ------------------------------------------------------------------------------------
 
 
-def _score_totals(pred: DataFrame, score: str, label: str, buckets: int | None) -> DataFrame:
-    """One row per distinct score with running totals from the highest score down."""
-    positive = F.col(label).cast("double") == 1.0
-    rows = pred.select(F.col(score).cast("double").alias("score"), positive.alias("_p"))
-    rows = rows.filter(F.col("score").isNotNull() & F.col("_p").isNotNull())
-    edges = bucketizer(rows, "score", buckets)
-    counts = rows.groupBy("score").agg(
-        F.count_if(F.col("_p")).alias("tp"), F.count_if(~F.col("_p")).alias("fp")
-    )
-    return running_totals(counts, "score", ["tp", "fp"], edges, descending=True)
+def _score_totals(pred: DataFrame, score: str, label: str, rows_per_task: int) -> DataFrame:
+    """One row per distinct score with running totals from the highest score down. ``pred`` is computed once, here."""
+    positive = quoted(label).cast("double") == 1.0
+    rows = pred.select(quoted(score).cast("double").alias("score"), positive.alias("p"))
+    rows = rows.filter(F.col("score").isNotNull() & F.col("p").isNotNull())
+    counts = rows.groupBy("score").agg(F.count_if(F.col("p")).alias("tp"), F.count_if(~F.col("p")).alias("fp"))
+    return running_totals(counts, "score", ["tp", "fp"], descending=True, rows_per_task=rows_per_task)
 
 
 def roc_curve(
@@ -155,14 +152,15 @@ def roc_curve(
     score: str = "score",
     label: str = "label",
     drop_collinear: bool = True,
-    buckets: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``fpr, tpr, threshold`` with a row per distinct score and a first point (0, 0, Infinity).
 
     ``drop_collinear`` leaves out inner points that lie evenly between their neighbours: those
-    whose next score adds the same counts. The first and the last score always stay.
+    whose next score adds the same counts. The first and the last score always stay. No task puts more than
+    ``rows_per_task`` scores in order.
     """
-    totals = _score_totals(pred, score, label, buckets)
+    totals = _score_totals(pred, score, label, rows_per_task)
     if drop_collinear:
         is_first = (F.col("cum_tp") == F.col("tp")) & (F.col("cum_fp") == F.col("fp"))
         is_last = F.col("next_tp").isNull()
@@ -178,11 +176,9 @@ def roc_curve(
     return start.unionByName(points)
 
 
-def roc_auc(
-    pred: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None
-) -> DataFrame:
+def roc_auc(pred: DataFrame, score: str = "score", label: str = "label", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Exact area under the ROC curve (tied scores count half); NULL with a single class."""
-    totals = _score_totals(pred, score, label, buckets)
+    totals = _score_totals(pred, score, label, rows_per_task)
     share = (
         (F.col("fp") / F.nullif("total_fp", F.lit(0)))
         * (F.col("cum_tp") - F.col("tp") / 2)

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import is_missing
-from millrace.operators.rank import exact_quantiles
+from millrace.functions.columns import quoted
+from millrace.operators.rank import exact_quantiles, stored, with_small
 
 APPROX_ACCURACY = 100_000
-DENSE_CELLS = 1_000_000
+#: Cells that a task holds counts of at a time, about.
+CELLS_HELD = 1 << 22
+CELL = T.StructType([T.StructField(n, T.IntegerType()) for n in ("i", "j", "x_bin", "y_bin")] + [T.StructField("n", T.LongType())])
 
-
-def _q(name: str) -> Column:
-    return F.col(f"`{name}`")
+_q = quoted
 
 
 def _per_column(df: DataFrame, hit, name: str) -> DataFrame:
@@ -134,14 +137,18 @@ def iqr_report(df: DataFrame, column: str, k: float = 1.5, approx: bool = False)
 def box_stats(
     df: DataFrame, column: str, by: str | None = None, k: float = 1.5, approx: bool = False
 ) -> DataFrame:
-    """Box-plot data: quartiles, whiskers (furthest values inside the fences), outlier count."""
+    """Box-plot data: quartiles, whiskers (furthest values inside the fences), outlier count.
+
+    The fences are found first, one row per group; the rows then meet them without a shuffle, and what they give is
+    combined before it is shuffled (above ``rank.BROADCAST_ROWS`` groups the rows are shuffled to their fences).
+    """
     keys = ["_by"] if by else []
     group = [_q(by).alias("_by")] if by else []
     known = df.filter(~is_missing(df, column)).select(*group, _q(column).cast("double").alias("_v"))
     fences = _fences(quartiles(known, "_v", keys, approx), k)
     if by:
-        # The join side has one row per group; Spark broadcasts it only when it is measured small.
-        both = known.join(fences, "_by")
+        fences = stored(fences, "fences")
+        both = with_small(known, fences, keys, fences.count())
     else:
         # One row, found first, then repeated as literals.
         found = fences.first()
@@ -160,40 +167,70 @@ def pair_bins(df: DataFrame, columns: Sequence[str], hue: str, bins: int = 10) -
     """Counts per hue on a grid of bins, for each pair of columns: ``x_col, y_col, x_bin, y_bin, n``.
 
     A column paired with itself gives its histogram. Bins have equal width between the smallest and
-    the largest value. With few columns the rows are first counted per full bin combination, which
-    shrinks them before each is spread over the column pairs.
+    the largest value. Each task counts its rows into dense blocks of ``bins`` by ``bins`` cells, one for each hue and
+    pair; only cells that aren't empty leave it, so what is shuffled doesn't follow the rows.
     """
     columns = list(columns)
     complete = df.filter(~_any_missing(df, columns))
-    row = complete.agg(
-        *[F.min(_q(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(_q(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(columns)],
-    ).first()
+    numbers = [_q(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]
+    row = complete.agg(*[f(n).alias(f"{f.__name__}{i}") for i, n in enumerate(numbers) for f in (F.min, F.max)]).first()
+    low = [row[f"min{i}"] for i in range(len(columns))]
+    high = [row[f"max{i}"] for i in range(len(columns))]
 
     def bin_of(i: int) -> Column:
-        low, high = row[f"lo{i}"], row[f"hi{i}"]
-        if low is None or low == high:
-            return F.lit(0).alias(f"_b{i}")
-        at = F.floor((_q(columns[i]).cast("double") - F.lit(low)) / F.lit((high - low) / bins))
-        return F.least(at, F.lit(bins - 1)).cast("int").alias(f"_b{i}")
-
-    binned = complete.select(_q(hue).alias("_hue"), F.lit(1).cast("long").alias("_n"), *[bin_of(i) for i in range(len(columns))])
-    if bins ** len(columns) <= DENSE_CELLS:
-        cells = [f"_b{i}" for i in range(len(columns))]
-        binned = binned.groupBy("_hue", *cells).agg(F.sum("_n").alias("_n"))
-    pairs = [
-        F.struct(
-            F.lit(columns[i]).alias("x_col"),
-            F.lit(columns[j]).alias("y_col"),
-            F.col(f"_b{i}").alias("x_bin"),
-            F.col(f"_b{j}").alias("y_bin"),
-        )
-        for i in range(len(columns))
-        for j in range(i, len(columns))
-    ]
-    spread = binned.select("_hue", "_n", F.explode(F.array(*pairs)).alias("p"))
-    counted = spread.groupBy("_hue", "p.x_col", "p.y_col", "p.x_bin", "p.y_bin").agg(F.sum("_n").alias("n"))
-    return counted.withColumnRenamed("_hue", hue)
+        if low[i] is None or low[i] == high[i]:
+            return F.lit(0)
+        at = F.floor((_q(columns[i]).cast("double") - F.lit(low[i])) / F.lit((high[i] - low[i]) / bins))
+        return F.least(at, F.lit(bins - 1)).cast("int")
+
+    binned = complete.select(_q(hue).alias("hue"), *[bin_of(i).cast("int").alias(f"b{i}") for i in range(len(columns))])
+    places = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    cells = binned.mapInArrow(_cell_counts(places, bins), T.StructType([binned.schema["hue"], *CELL.fields]))
+    names = F.array(*[F.lit(c) for c in columns])
+    counted = cells.groupBy("hue", "i", "j", "x_bin", "y_bin").agg(F.sum("n").alias("n"))
+    return counted.select(
+        F.col("hue").alias(hue), F.get(names, F.col("i")).alias("x_col"), F.get(names, F.col("j")).alias("y_col"), "x_bin", "y_bin", "n"
+    )
+
+
+def _cell_counts(places: Sequence[tuple[int, int]], bins: int):
+    """Counts of a task's rows per hue, pair of columns and cell, given out when CELLS_HELD cells are at hand."""
+    most = max(1, CELLS_HELD // (len(places) * bins * bins))  # hues
+
+    def told(hues: list, blocks: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+        counts = np.stack(blocks)  # hue, pair, x, y
+        at = np.nonzero(counts)
+        i, j = np.array(places, np.int32)[at[1]].T
+        cells = [pa.array(x.astype(np.int32)) for x in (i, j, at[2], at[3])]
+        return pa.RecordBatch.from_arrays([pa.array(hues, kind).take(pa.array(at[0])), *cells, pa.array(counts[at])], names=["hue", *CELL.names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, kind = {}, None
+        for batch in batches:
+            coded = batch.column("hue").dictionary_encode(null_encoding="encode")
+            kind = coded.dictionary.type
+            code = coded.indices.to_numpy(zero_copy_only=False)
+            at = [batch.column(k + 1).to_numpy(zero_copy_only=False) for k in range(batch.num_columns - 1)]
+            values = coded.dictionary.to_pylist()
+            for low in range(0, len(values), most):
+                mine = slice(None) if len(values) <= most else (code >= low) & (code < low + most)
+                some = values[low : low + most]
+                shape = (len(some), bins, bins)
+                block = np.stack([np.bincount(
+                    np.ravel_multi_index((code[mine] - low, at[i][mine], at[j][mine]), shape), minlength=len(some) * bins * bins
+                ).reshape(shape) for i, j in places], axis=1)
+                for h, counts in zip(some, block):
+                    if h in held:
+                        held[h] += counts
+                    else:
+                        held[h] = counts
+                if len(held) >= most:
+                    yield told(list(held), list(held.values()), kind)
+                    held = {}
+        if held:
+            yield told(list(held), list(held.values()), kind)
+
+    return run
 
 
 def _any_missing(df: DataFrame, columns: Sequence[str]) -> Column:

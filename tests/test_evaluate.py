@@ -51,16 +51,16 @@ CASES = {
 
 
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("buckets", [1, 7, 64])
-def test_auc(spark, name, buckets):
+@pytest.mark.parametrize("rows_per_task", [1, 20, 1_000_000])
+def test_auc(spark, name, rows_per_task):
     df = scores(spark, CASES[name]).repartition(3)
-    assert evaluate.roc_auc(df, buckets=buckets).first()[0] == pytest.approx(brute_auc(CASES[name]), abs=1e-12)
+    assert evaluate.roc_auc(df, rows_per_task=rows_per_task).first()[0] == pytest.approx(brute_auc(CASES[name]), abs=1e-12)
 
 
 @pytest.mark.parametrize("name", CASES)
 @pytest.mark.parametrize("drop", [True, False])
 def test_roc_curve(spark, name, drop):
-    df = evaluate.roc_curve(scores(spark, CASES[name]), drop_collinear=drop, buckets=5)
+    df = evaluate.roc_curve(scores(spark, CASES[name]), drop_collinear=drop, rows_per_task=5)
     found = sorted((-r["threshold"], r["fpr"], r["tpr"]) for r in df.collect())
     wanted = sorted((-t, f, p) for f, p, t in brute_roc(CASES[name], drop))
     assert found == [pytest.approx(w) for w in wanted]
@@ -142,3 +142,10 @@ def test_missing_predictions_are_wrong_answers(spark):
     report = {r["name"]: r for r in evaluate.classification_report(pred, "the.label").collect()}
     assert set(report) == {"0.0", "1.0", "accuracy", "macro avg", "weighted avg"}
     assert report["accuracy"]["f1"] == 0.5 and abs(report["macro avg"]["recall"] - 0.5) < 1e-9
+
+
+def test_names_with_dots(spark):
+    pred = spark.createDataFrame([(1.0, 0.9, 2.0), (0.0, 0.1, 0.0), (0.0, 0.4, 1.0)], "`a.label` double, `a.score` double, `a.guess` double")
+    assert evaluate.roc_auc(pred, "a.score", "a.label").first()[0] == 1.0
+    assert evaluate.roc_curve(pred, "a.score", "a.label", drop_collinear=False).count() == 4
+    assert evaluate.mse(pred, "a.label", "a.guess").first()[0] == pytest.approx(2 / 3)

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from millrace.operators import clean, evaluate, profile, split
+from millrace.operators import clean, evaluate, profile, rank, split
 from millrace.plans.data import scored_lines
 from millrace.sources import table
 
@@ -40,16 +40,40 @@ def test_class_metrics_read_two_columns(spark, sf):
     assert "ReadSchema: struct<o_orderstatus:string,o_orderpriority:string>" in plan(evaluate.class_metrics(pred))
 
 
-def test_curve_counts_are_shuffled_once(spark, sf):
-    """Bucket totals and the curve share the exchange of the per-score counts."""
-    curve = evaluate.roc_auc(scored_lines(spark, sf))
-    curve.collect()
-    final = plan(curve)
-    assert "ReusedExchange" in final
+def test_curves_read_the_scores_once(spark, sf):
+    """What is left of the plan reads only the written counts."""
+    for curve in (evaluate.roc_auc(scored_lines(spark, sf)), evaluate.roc_curve(scored_lines(spark, sf))):
+        text = plan(curve)
+        assert "lineitem.parquet" not in text and "millrace-" in text
 
 
 def test_windows_are_partitioned_or_small(spark, sf):
-    """The only unpartitioned windows run over bucket tables, after an aggregate by bucket."""
+    """The only unpartitioned windows run over the cells of the highest digit, after an aggregate by it."""
     text = plan(evaluate.roc_curve(scored_lines(spark, sf)))
-    for block in re.findall(r"Window \[.*", text):
-        assert "_bucket" in block or "specifiedwindowframe(RowFrame, unboundedpreceding$(), unboundedfollowing$())" in block
+    windows = re.findall(r"Window \[.*", text)
+    assert windows and all("[at#" in w or "specifiedwindowframe(RowFrame, unboundedpreceding$(), unboundedfollowing$())" in w for w in windows)
+
+
+def test_quantiles_shuffle_no_rows(spark, sf, tmp_path):
+    """Every exchange by a group comes after a partial aggregate, and nothing asks for approximate quantiles."""
+    plans = []
+    write = rank.stored
+    rank_stored = lambda df, name: plans.append(plan(df)) or write(df, name)
+    lines = table(spark, sf, "lineitem")
+    original, rank.stored = rank.stored, rank_stored
+    try:
+        profile.group_stats(lines, "l_returnflag", "l_extendedprice")
+    finally:
+        rank.stored = original
+    assert len(plans) >= 2
+    for text in plans:
+        for block in re.findall(r"Exchange hashpartitioning\([^\n]*\n[^\n]*", text):
+            assert "partial_" in block or "HashAggregate" in block, block
+        assert "approx" not in text and "SortMergeJoin" not in text
+
+
+def test_pair_bins_combine_before_the_shuffle(spark, sf):
+    lines = table(spark, sf, "lineitem")
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_orderkey", "l_partkey", "l_suppkey"]
+    text = plan(profile.pair_bins(lines, columns, "l_returnflag"))
+    assert "Generate" not in text and text.index("HashAggregate") < text.index("MapInArrow")

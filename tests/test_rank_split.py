@@ -30,16 +30,50 @@ CASES = {
 }
 
 
+NUMBERS = [0.0, -0.0, 1.0, -1.0, 0.1, 1 / 3, 1e300, -1e300, 5e-324, -5e-324, 2.0**-1022, 2.0**-1023, 1.7976931348623157e308, math.inf, -math.inf, 1e-310]
+
+
+def test_order_key(spark):
+    """Keys order as the numbers do, are those of the bits, and give the numbers back."""
+    rng = np.random.default_rng(1)
+    values = NUMBERS + rng.integers(-(2**63), 2**63, 3000).view(np.float64).tolist() + [2.0**i for i in range(-1074, 1024, 7)]
+    values += [np.nextafter(2.0**i, 0) for i in range(-1021, 1024, 5)] + [np.nextafter(2.0**i, math.inf) for i in range(-1021, 1023, 5)]
+    values = [float(v) for v in values if not math.isnan(v)]
+    for r in rank.with_order_key(frame(spark, values), "x", "k").withColumn("back", rank.key_value(F.col("k"))).collect():
+        bits = int(np.array(abs(r["x"])).view(np.int64))
+        assert r["k"] == (-bits if r["x"] < 0 else bits) and r["back"] == r["x"]
+    both = rank.with_order_key(frame(spark, [math.nan, math.inf]).withColumn("size", F.lit(1)), "x")
+    assert both.columns == ["x", "size", "key"] and both.orderBy("key").first()["x"] == math.inf
+
+
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("buckets", [1, 2, 16])
-def test_exact_quantiles(spark, name, buckets):
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+def test_exact_quantiles(spark, name, broadcast, monkeypatch):
+    monkeypatch.setattr(rank, "BROADCAST_ROWS", broadcast)
     values = CASES[name]
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    n, found = quantiles(frame(spark, values).repartition(3), probabilities, buckets=buckets)
+    n, found = quantiles(frame(spark, values).repartition(3), probabilities)
     assert n == len(values)
     assert found == pytest.approx(list(np.percentile(values, [100 * p for p in probabilities])), rel=1e-12)
 
 
+def test_quantiles_of_hot_and_odd_groups(spark):
+    """A hot group, a hot value, infinities, numbers that differ in the last bit, and names that clash with helpers."""
+    near = [1.0 + i * 2.0**-52 for i in range(64)]
+    groups = {"hot": [float(i % 977) for i in range(20000)] + [7.5] * 9000, "inf": [math.inf] * 3 + [-math.inf] * 2 + [0.0],
+              "near": near, "one": [5e-324], "zeros": [0.0, -0.0, 0.0, -1e-320]}
+    rows = [(g, v, "x") for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "`g.0` string, key double, at string").repartition(5)
+    found = {r["g.0"]: (r["n"], r["quantiles"]) for r in rank.exact_quantiles(df, "key", [0.0, 0.3, 0.5, 1.0], by=["g.0"]).collect()}
+    for g, values in groups.items():
+        with np.errstate(invalid="ignore"):
+            wanted = [sorted(values)[0], None, float(np.median(values)), sorted(values)[-1]]
+        assert found[g][0] == len(values)
+        for i in (0, 3) if g == "inf" else (0, 2, 3):
+            assert found[g][1][i] == pytest.approx(wanted[i], rel=1e-15, abs=0)
+    assert found["hot"][1][1] == pytest.approx(float(np.percentile(groups["hot"], 30)))
+
+
 def test_exact_quantiles_skip_missing_and_group(spark):
     rows = [("a", 1.0), ("a", 2.0), ("a", None), ("a", float("nan")), ("b", 7.0), (None, 100.0)]
     rows += [("c", float(i)) for i in range(1000)] + [("c", 5.0)] * 500
@@ -53,38 +87,88 @@ def test_quantiles_of_nothing(spark):
     assert rank.exact_quantiles(frame(spark, []), "x", [0.5]).collect() == []
 
 
-def test_running_totals_cross_buckets(spark):
-    values = [(float(i % 40), i % 3) for i in range(400)]
+@pytest.mark.parametrize("rows_per_task", [1, 3, 1_000_000])
+@pytest.mark.parametrize("descending", [True, False])
+def test_running_totals_cross_cells(spark, rows_per_task, descending):
+    """``rows_per_task=1`` reads all four digits."""
     counts = Counter()
-    for v, s in values:
-        counts[v] += s
-    df = spark.createDataFrame(list(counts.items()), "v double, s long")
-    for buckets in (1, 3, 50):
-        edges = rank.bucketizer(df, "v", buckets)
-        found = {r["v"]: r for r in rank.running_totals(df, "v", ["s"], edges).collect()}
-        total, ordered = 0, sorted(counts, reverse=True)
-        for i, v in enumerate(ordered):
-            total += counts[v]
-            assert found[v]["cum_s"] == total
-            assert found[v]["total_s"] == sum(counts.values())
-            assert found[v]["next_s"] == (counts[ordered[i + 1]] if i + 1 < len(ordered) else None)
+    for i in range(400):
+        counts[float(i % 40) / 7 - 2] += i % 3
+    counts |= {math.inf: 5, -1e300: 1, 1.0: 2, math.nextafter(1.0, 2): 3}
+    df = spark.createDataFrame(list(counts.items()), "`v.at` double, s long").repartition(3)
+    totals = rank.running_totals(df, "v.at", ["s"], descending, rows_per_task)
+    assert totals.columns == ["v.at", "s", "cum_s", "total_s", "next_s"]
+    found = {r["v.at"]: r for r in totals.collect()}
+    total, ordered = 0, sorted(counts, reverse=descending)
+    for i, v in enumerate(ordered):
+        total += counts[v]
+        assert found[v]["cum_s"] == total
+        assert found[v]["total_s"] == sum(counts.values())
+        assert found[v]["next_s"] == (counts[ordered[i + 1]] if i + 1 < len(ordered) else None)
 
 
 def digest(*parts, seed=7):
     return hashlib.md5("|".join([str(seed), *map(str, parts)]).encode()).hexdigest()
 
 
-@pytest.mark.parametrize("small", [1, 10, 1_000_000])
-def test_cut_at_every_round_length(spark, small):
-    """``small=1`` forces further rounds on longer prefixes."""
-    hashes = sorted([digest(i) for i in range(3000)] + [digest(5)] * 200)
-    df = spark.createDataFrame([(h,) for h in hashes], "_hash string").repartition(3)
-    for at in (0, 1, 1500, 2999, 3199, hashes.index(digest(5)) + 77):
-        cut = rank.cut_at(df, at, small)
-        assert cut.hash == hashes[at]
-        assert cut.start == hashes.index(hashes[at])
-        assert cut.rows == hashes.count(hashes[at])
-    assert rank.cut_at(df, 3200, small) is None
+def test_find_cuts(spark):
+    hashes = sorted([digest(i) for i in range(3000)] + [digest(5)] * 200 + [digest(9)[:8] + "0" * 24] * 3 + [digest(9)[:4] + "f" * 28])
+    df = spark.createDataFrame([(h,) for h in hashes], "key string").repartition(3)
+    ranks = [0, 1, 1500, 2999, 3199, hashes.index(digest(5)) + 77, hashes.index(digest(9)), hashes.index(digest(9)) - 1, len(hashes), 9000]
+    n, cuts = rank.find_cuts(df, F.col("key"), ranks)
+    assert n == len(hashes)
+    for at, cut in zip(ranks, cuts):
+        if at >= n:
+            assert cut is None
+        else:
+            assert (cut.hash, cut.start, cut.rows) == (hashes[at], hashes.index(hashes[at]), hashes.count(hashes[at]))
+    assert rank.find_cuts(df, F.col("key"), lambda n: [n - 1])[1][0].hash == hashes[-1]
+    assert rank.find_cuts(df.filter("false"), F.col("key"), [0, 5]) == (0, [None, None])
+
+
+CLASHING = "a long, hash string, _hash string, bucket int, c string, h string, row string, `dot.ted` int, split int, fold int, many int, chunk int"
+
+
+def clashing(spark, n, copies=1):
+    return spark.createDataFrame([(i, "h", "_h", i % 7, "abc"[i % 3], "x", "r", i % 2, i, i, 1, 2) for i in range(n)] * copies, CLASHING)
+
+
+def test_helper_names_do_not_clash(spark):
+    df = clashing(spark, 90)
+    before = Counter(tuple(r) for r in df.drop("split", "fold").collect())
+    for out, column in ((split.split_exact(df, "a", train=0.3), "split"), (split.assign_folds(df, "a", 3, stratify="c"), "fold"),
+                        (split.assign_folds(df, "a", 3), "fold"), (split.split_counts(df, "a", 20, 70), "split")):
+        assert Counter(tuple(r) for r in out.drop("split", "fold").collect()) == before
+        assert set(out.columns) == set(df.columns) and column in out.columns
+    assert split.sample_n(df, "a", 10).columns == df.columns
+    copies = split.split_exact(clashing(spark, 3, 40), train=0.5)  # copies lie across the cut
+    assert Counter(tuple(r) for r in copies.drop("split").collect()) == Counter(tuple(r) for r in clashing(spark, 3, 40).drop("split").collect())
+    assert {r["split"]: r["n"] for r in split.split_sizes(copies).collect()} == {"train": 60, "test": 60}
+
+
+def test_cuts_take_three_scans(spark, tmp_path, monkeypatch):
+    """However many cuts there are."""
+    jobs = []
+    cells = rank._cells
+    monkeypatch.setattr(rank, "_cells", lambda *a: jobs.append(a) or cells(*a))
+    split._segments(spark.range(5000), ["id"], 1, [(str(i), 100) for i in range(40)], "part").count()
+    assert len(jobs) == 3
+
+
+def test_folds_of_copies(spark, monkeypatch):
+    """200,000 equal rows, and as many of one key, are dealt out evenly by several tasks."""
+    monkeypatch.setattr(split, "ROWS_PER_BUCKET", 1 << 14)
+    same = spark.range(200_000).selectExpr("1L AS k", "'a' AS c", "0L AS v")
+    rows = same.union(spark.range(100_000).selectExpr("2L AS k", "'b' AS c", "id AS v")).union(spark.range(20_000).selectExpr("id + 10 AS k", "'a' AS c", "id AS v"))
+    for key in (["k", "c", "v"], ["k"]):
+        folds = split.assign_folds(rows, key, 7, 3, stratify="c")
+        counts = folds.groupBy("c", "fold").count().collect()
+        for c, n in (("a", 220_000), ("b", 100_000)):
+            sizes = [r["count"] for r in counts if r["c"] == c]
+            assert sum(sizes) == n and max(sizes) - min(sizes) <= 1 and len(sizes) == 7
+        assert folds.groupBy("k", "c", "v").count().exceptAll(rows.groupBy("k", "c", "v").count()).count() == 0
+        largest = folds.filter("k = 1").select(F.spark_partition_id().alias("p")).groupBy("p").count()
+        assert largest.count() >= 3
 
 
 def test_split_exact_sizes_and_order(spark):
