@@ -16,10 +16,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from millrace.operators import models, split, tune  # noqa: E402
+from millrace.operators import models, split, trees, tune  # noqa: E402
 from millrace.plans import QUERIES  # noqa: E402
 from millrace.plans.modeling import prepared_orders  # noqa: E402
-from millrace.session import local_session  # noqa: E402
+from millrace.session import local_session, persisted  # noqa: E402
 from millrace.sources import table  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -90,8 +90,24 @@ def _search(spark: SparkSession, sf: str) -> DataFrame:
     return tune.sampled_search(models.gbt, space, train, test, max_evals=8, parallelism=2, seed=SEED, fit_partitions=4).table
 
 
+def _tree_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """The published grid of depths and leaf sizes with five folds of equal class shares; depths share a fit."""
+    values = {"max_depth": [None, 1, 2, 3, 4], "min_samples_leaf": list(range(1, 11))}
+    return tune.grid_search(models.tree(), values, prepared_orders(spark, sf), "o_orderkey", k=5, seed=SEED, parallelism=CPUS, fit_partitions=1).table
+
+
+def _boosted(spark: SparkSession, sf: str) -> DataFrame:
+    """The published numbers of boosted trees, 100 and 200, scored on the same held-out rows from one fit."""
+    parts = split.split_exact(prepared_orders(spark, sf), "o_orderkey", test=0.2, seed=SEED)
+    with persisted(parts.select("label", "features", "split").coalesce(CPUS)) as kept:
+        model = models.fit_gbt(kept.filter("split = 'train'"), n_estimators=200)
+        return trees.staged_auc(model, kept.filter("split = 'test'"), [100, 200])
+
+
 # The grids of the published examples.
 TUNING = {
+    "tree_grid_50x5": _tree_grid,
+    "boosted_100_200": _boosted,
     "tree_cv_12x5": _cross_validation(models.tree, {"maxDepth": [1, 2, 6, 10], "maxBins": [20, 40, 80]}),
     "forest_cv_12x5": _cross_validation(
         models.forest, {"maxDepth": [2, 4, 6], "maxBins": [20, 60], "numTrees": [5, 20]}

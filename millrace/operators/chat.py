@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import alt_label, id_to_name
-from millrace.functions.columns import quoted
+from millrace.functions.columns import fresh_name, quoted
 
 TURNS_PER_BLOCK = 256
 
@@ -107,11 +107,12 @@ def pad_tokens(
     """
     if side not in ("left", "right"):
         raise ValueError("side must be left or right")
-    longest = df.groupBy(quoted(batch_key).alias("_batch")).agg(F.max(F.size(column)).alias("_longest"))
-    joined = df.join(longest, quoted(batch_key).eqNullSafe(F.col("_batch")))
-    padding = F.array_repeat(F.lit(pad_id), (F.col("_longest") - F.size(column)).cast("int"))
-    parts = (padding, F.col(column)) if side == "left" else (F.col(column), padding)
-    return joined.withColumn(output, F.concat(*parts)).drop("_batch", "_longest")
+    batch, most = (fresh_name([*df.columns, output], c) for c in ("batch", "longest"))
+    longest = df.groupBy(quoted(batch_key).alias(batch)).agg(F.max(F.size(quoted(column))).alias(most))
+    joined = df.join(longest, quoted(batch_key).eqNullSafe(F.col(batch)))
+    padding = F.array_repeat(F.lit(pad_id), (F.col(most) - F.size(quoted(column))).cast("int"))
+    parts = (padding, quoted(column)) if side == "left" else (quoted(column), padding)
+    return joined.withColumn(output, F.concat(*parts)).drop(batch, most)
 
 
 def class_table(spark: SparkSession, names: Sequence[str]) -> DataFrame:

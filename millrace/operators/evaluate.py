@@ -9,6 +9,8 @@ label are left out.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,13 +140,14 @@ def mse(pred: DataFrame, label: str = "label", prediction: str = "prediction") -
 # ---- curves ------------------------------------------------------------------------------------
 
 
-def _score_totals(pred: DataFrame, score: str, label: str, rows_per_task: int) -> DataFrame:
+def _score_totals(pred: DataFrame, score: str, label: str, rows_per_task: int, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score with running totals from the highest score down. ``pred`` is computed once, here."""
     positive = quoted(label).cast("double") == 1.0
-    rows = pred.select(quoted(score).cast("double").alias("score"), positive.alias("p"))
+    rows = pred.select(*[quoted(b) for b in by], quoted(score).cast("double").alias("score"), positive.alias("p"))
     rows = rows.filter(F.col("score").isNotNull() & F.col("p").isNotNull())
-    counts = rows.groupBy("score").agg(F.count_if(F.col("p")).alias("tp"), F.count_if(~F.col("p")).alias("fp"))
-    return running_totals(counts, "score", ["tp", "fp"], descending=True, rows_per_task=rows_per_task)
+    keys = [*[quoted(b) for b in by], F.col("score")]
+    counts = rows.groupBy(*keys).agg(F.count_if(F.col("p")).alias("tp"), F.count_if(~F.col("p")).alias("fp"))
+    return running_totals(counts, "score", ["tp", "fp"], descending=True, rows_per_task=rows_per_task, by=by)
 
 
 def roc_curve(
@@ -176,15 +179,18 @@ def roc_curve(
     return start.unionByName(points)
 
 
-def roc_auc(pred: DataFrame, score: str = "score", label: str = "label", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Exact area under the ROC curve (tied scores count half); NULL with a single class."""
-    totals = _score_totals(pred, score, label, rows_per_task)
+def roc_auc(
+    pred: DataFrame, score: str = "score", label: str = "label", rows_per_task: int = ROWS_PER_TASK, by: Sequence[str] = ()
+) -> DataFrame:
+    """``*by, roc_auc``: exact area under the ROC curve (tied scores count half); NULL with a single class."""
+    totals = _score_totals(pred, score, label, rows_per_task, by)
     share = (
         (F.col("fp") / F.nullif("total_fp", F.lit(0)))
         * (F.col("cum_tp") - F.col("tp") / 2)
         / F.nullif("total_tp", F.lit(0))
     )
-    return totals.agg(F.sum(share).alias("roc_auc"))
+    area = F.sum(share).alias("roc_auc")
+    return totals.groupBy(*[quoted(b) for b in by]).agg(area) if by else totals.agg(area)
 
 
 def evaluate_binary(

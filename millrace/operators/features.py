@@ -7,10 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import fresh_name, quoted
 from millrace.operators.clean import columns_of
+from millrace.operators.rank import BROADCAST_ROWS, ROWS_PER_TASK, stored
 
 MAX_DUMMY_COLUMNS = 10_000
 
@@ -61,6 +63,50 @@ def index_categories(
     )
 
 
+def index_table(df: DataFrame, column: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``value, n, index``: the categories of a column as a table, most frequent first and ties by name.
+
+    For columns of any number of levels: levels are counted, dealt out in ranges of their order and numbered range by
+    range, so no list of them comes to the driver. NULL is no level.
+    """
+    value = quoted(column).cast("string")
+    counts = df.filter(value.isNotNull()).groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts, "levels")
+    parts = max(1, -(-counts.count() // rows_per_task))
+    order = [F.desc("n"), F.asc("value")]
+    dealt = counts.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    dealt = stored(dealt, "dealt_levels")  # written, as another run of the range shuffle might deal otherwise
+    along = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    before = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("size")).select("part", F.coalesce(F.sum("size").over(along), F.lit(0)).alias("before"))
+    number = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1 + F.col("before")
+    return dealt.join(before, "part").select("value", "n", number.cast("double").alias("index"))
+
+
+def with_index(df: DataFrame, column: str, levels: DataFrame, output: str | None = None, handle_invalid: str = "error") -> DataFrame:
+    """The table with the index of each row's category from an ``index_table``, as the fitted indexer would give it.
+
+    Categories that the table doesn't have, and NULL, fail the query (``error``), go (``skip``), or get the number of
+    levels (``keep``). Up to ``rank.BROADCAST_ROWS`` levels are sent to the rows, more are joined by a shuffle.
+    """
+    if handle_invalid not in ("error", "skip", "keep"):
+        raise ValueError("handle_invalid must be error, skip or keep")
+    output = f"{column}Index" if output is None else output
+    n = levels.count()
+    value, index = (fresh_name([*df.columns, output], c) for c in ("value", "index"))
+    small = levels.select(F.col("value").alias(value), F.col("index").alias(index))
+    keyed = df.withColumn(output, quoted(column).cast("string"))
+    on = keyed[f"`{output}`"] == small[value]
+    found = keyed.join(F.broadcast(small) if n <= BROADCAST_ROWS else small.hint("merge"), on, "left")
+    known = F.col(index)
+    if handle_invalid == "skip":
+        found = found.filter(known.isNotNull())
+    elif handle_invalid == "keep":
+        known = F.coalesce(known, F.lit(float(n)))
+    else:
+        known = F.when(known.isNotNull(), known).otherwise(F.raise_error(F.concat(F.lit("unknown category: "), F.coalesce(quoted(output), F.lit("NULL")))))
+    return found.select(*[quoted(c) for c in df.columns if c != output], known.alias(output))
+
+
 def index_label(column: str, output: str = "label", order: str = "frequencyDesc") -> StringIndexer:
     return StringIndexer(inputCol=column, outputCol=output, stringOrderType=order)
 

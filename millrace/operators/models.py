@@ -137,17 +137,24 @@ def tree_summary(model: Model) -> DataFrame:
     return SparkSession.active().createDataFrame(rows, "tree int, n_nodes int, depth int")
 
 
-def tree_nodes(model: Model, path: str | None = None) -> DataFrame:
-    """Node table of a tree model, read from the model's own files (written to ``path`` if given)."""
+def node_rows(model: Model, path: str | None = None) -> DataFrame:
+    """A tree model's own files (written to ``path`` if given): a row per node, with the number of its ``tree``."""
     spark = SparkSession.active()
     path = path or scratch_path(spark, "tree")
     save_model(_last_stage(model), path)
     nodes = spark.read.parquet(f"{path}/data")
     if "nodeData" in nodes.columns:
-        nodes = nodes.select(F.col("treeID").alias("tree"), "nodeData.*")
-    else:
-        nodes = nodes.withColumn("tree", F.lit(0))
-    return nodes.select(
+        return nodes.select(F.col("treeID").alias("tree"), "nodeData.*")
+    return nodes.withColumn("tree", F.lit(0))
+
+
+def tree_nodes(model: Model, path: str | None = None) -> DataFrame:
+    """Node table of a tree model, read from the model's own files (written to ``path`` if given).
+
+    ``n_categories`` is NULL where a node splits at a threshold; elsewhere the categories that go left are listed.
+    """
+    split = F.size("split.leftCategoriesOrThreshold") > 0
+    return node_rows(model, path).select(
         "tree",
         F.col("id").alias("node"),
         "prediction",
@@ -156,8 +163,8 @@ def tree_nodes(model: Model, path: str | None = None) -> DataFrame:
         F.nullif("leftChild", F.lit(-1)).alias("left_child"),
         F.nullif("rightChild", F.lit(-1)).alias("right_child"),
         F.nullif("split.featureIndex", F.lit(-1)).alias("feature"),
-        F.when(F.size("split.leftCategoriesOrThreshold") > 0, F.col("split.leftCategoriesOrThreshold"))
-        .alias("left_categories_or_threshold"),
+        F.when(split, F.col("split.leftCategoriesOrThreshold")).alias("left_categories_or_threshold"),
+        F.nullif("split.numCategories", F.lit(-1)).alias("n_categories"),
     )
 
 

@@ -161,65 +161,77 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
 # ---- running totals ----------------------------------------------------------------------------------
 
 
-def _depth(keys: DataFrame, rows_per_task: int) -> int:
+def _depth(keys: DataFrame, group: list[str], rows_per_task: int) -> int:
     """How many digits bring every cell down to one task's share of rows."""
     n = keys.count()
     for depth, below in enumerate(BELOW, start=1):
         if n <= rows_per_task or not below:
             return depth
-        n = keys.groupBy(_digits(F.col("key"), below)).count().agg(F.max("count")).first()[0]
+        n = keys.groupBy(*group, _digits(F.col("key"), below)).count().agg(F.max("count")).first()[0]
         if n <= rows_per_task:
             return depth
     return len(BELOW)
 
 
-def running_totals(counts: DataFrame, order_col: str, sums: Sequence[str], descending: bool = True, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Running totals along ``order_col`` (a double) over a table with one row per value.
+def running_totals(
+    counts: DataFrame,
+    order_col: str,
+    sums: Sequence[str],
+    descending: bool = True,
+    rows_per_task: int = ROWS_PER_TASK,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Running totals along ``order_col`` (a double) over a table with one row per value, or per value of each group.
 
-    Returns ``order_col``, the summed columns, and for each of these ``s``: ``cum_s`` (up to and including the row),
+    Returns ``by``, ``order_col``, the summed columns, and for each of these ``s``: ``cum_s`` (up to and including the row),
     ``total_s`` and ``next_s`` (the value of the following row, NULL on the last one). The given plan runs once, when this
     is called; the totals are read from what it wrote. No ordered window holds more than ``rows_per_task`` rows or the
-    65,536 cells of a digit.
+    65,536 cells of a digit. Groups of a NULL are left out.
     """
-    names = [f"s{i}" for i in range(len(sums))]
-    rows = counts.select(quoted(order_col).alias("v"), *[quoted(s).alias(n) for s, n in zip(sums, names)])
+    names, group = [f"s{i}" for i in range(len(sums))], [f"g{i}" for i in range(len(by))]
+    rows = counts.select(
+        *[quoted(b).alias(g) for b, g in zip(by, group)], quoted(order_col).alias("v"), *[quoted(s).alias(n) for s, n in zip(sums, names)]
+    )
     rows = stored(with_order_key(rows, "v", descending=descending), "totals")
-    depth = _depth(rows, rows_per_task)
+    depth = _depth(rows, group, rows_per_task)
 
     # Cells of the lowest digit first: their sums, and the values of their first rows.
     cell = _digits(F.col("key"), BELOW[depth - 1])
-    cells = [rows.groupBy(cell.alias("at")).agg(*[F.sum(n).alias(n) for n in names], *[F.min_by(n, "key").alias(f"first_{n}") for n in names])]
+    added = [F.sum(n).alias(n) for n in names]
+    cells = [rows.groupBy(*group, cell.alias("at")).agg(*added, *[F.min_by(n, "key").alias(f"first_{n}") for n in names])]
     for _ in range(depth - 1):
-        up = F.shiftright("at", 16).alias("up")
-        cells.append(cells[-1].groupBy(up).agg(*[F.sum(n).alias(n) for n in names], *[F.min_by(f"first_{n}", "at").alias(f"first_{n}") for n in names]).withColumnRenamed("up", "at"))
+        up = cells[-1].groupBy(*group, F.shiftright("at", 16).alias("up"))
+        cells.append(up.agg(*added, *[F.min_by(f"first_{n}", "at").alias(f"first_{n}") for n in names]).withColumnRenamed("up", "at"))
 
     placed = None
     for level in reversed(cells):
-        level = level.withColumn("parent", F.shiftright("at", 16) if placed is not None else F.lit(0))
-        siblings = Window.partitionBy("parent") if placed is not None else Window.partitionBy()
+        inner = [*group, "parent"]
+        level = level.withColumn("parent", F.shiftright("at", 16) if placed is not None else F.lit(0).cast("long"))
+        siblings = Window.partitionBy(*inner) if placed is not None else Window.partitionBy(*group)
         along = siblings.orderBy("at")
         before = along.rowsBetween(Window.unboundedPreceding, -1)
         level = level.select(
-            "at", "parent",
+            *inner, "at",
             *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"before_{n}") for n in names],
             *[F.lead(f"first_{n}").over(along).alias(f"after_{n}") for n in names],
             *([F.sum(n).over(siblings).alias(f"total_{n}") for n in names] if placed is None else []),
         )
         if placed is not None:
             above = placed.select(
-                F.col("at").alias("parent"), *[F.col(f"before_{n}").alias(f"begin_{n}") for n in names],
+                *group, F.col("at").alias("parent"), *[F.col(f"before_{n}").alias(f"begin_{n}") for n in names],
                 *[F.col(f"after_{n}").alias(f"end_{n}") for n in names], *[f"total_{n}" for n in names],
             )
-            level = level.join(above, "parent").select(
-                "at", *[(F.col(f"begin_{n}") + F.col(f"before_{n}")).alias(f"before_{n}") for n in names],
+            level = level.join(above, inner).select(
+                *group, "at", *[(F.col(f"begin_{n}") + F.col(f"before_{n}")).alias(f"before_{n}") for n in names],
                 *[F.coalesce(f"after_{n}", f"end_{n}").alias(f"after_{n}") for n in names], *[f"total_{n}" for n in names],
             )
         placed = level
 
-    inside = Window.partitionBy("at").orderBy("key")
+    inside = Window.partitionBy(*group, "at").orderBy("key")
     up_to_row = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = rows.withColumn("at", cell).join(placed.drop("parent"), "at")
+    both = rows.withColumn("at", cell).join(placed.drop("parent"), [*group, "at"])
     return both.select(
+        *[F.col(g).alias(b) for g, b in zip(group, by)],
         F.col("v").alias(order_col),
         *[F.col(n).alias(s) for n, s in zip(names, sums)],
         *[(F.col(f"before_{n}") + F.sum(n).over(up_to_row)).alias(f"cum_{s}") for n, s in zip(names, sums)],

@@ -1,17 +1,19 @@
 """Run and model tables: parquet below one shared root folder.
 
 ``<root>/runs/<run_id>`` holds the row of a run, ``<root>/models/<name digest>/<version>`` the row of
-a registered version, and ``<root>/artifacts/<run_id>/model`` the fitted model. Every record has a
+a registered version, ``<root>/claims`` who has which version, and ``<root>/artifacts/<run_id>/model`` the fitted model. Every record has a
 folder of its own, so concurrent trials never write to the same place.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,8 +50,12 @@ def models_table(spark: SparkSession, root: str) -> DataFrame:
     return _records(spark, MODELS_SCHEMA, f"{root}/models")
 
 
+def _name_digest(name: str) -> str:
+    return hashlib.md5(name.encode()).hexdigest()
+
+
 def _name_folder(root: str, name: str) -> str:
-    return f"{root}/models/{hashlib.md5(name.encode()).hexdigest()}"
+    return f"{root}/models/{_name_digest(name)}"
 
 
 def log_run(
@@ -133,25 +139,47 @@ def _versions(spark: SparkSession, root: str, name: str) -> DataFrame | None:
         return None
 
 
+def _claim(spark: SparkSession, path: str) -> bool:
+    """Create a file that must not be there yet; False if another writer has it. One call of the file system decides.
+
+    Hadoop's ``create`` without overwriting is atomic in a distributed file system; its local one looks first, so there
+    the operating system's exclusive create is asked.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(conf)
+    system.mkdirs(place.getParent())
+    if system.getUri().getScheme() == "file":
+        try:
+            os.close(os.open(place.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+            return True
+        except FileExistsError:
+            return False
+    try:
+        system.create(place, False).close()
+        return True
+    except Py4JJavaError:
+        if system.exists(place):
+            return False
+        raise
+
+
 def register_model(spark: SparkSession, root: str, name: str, run_id: str) -> int:
     """Give the run's model the next version of a name.
 
-    A version that another writer has taken meanwhile is skipped. This is a check before writing,
-    not a lock.
+    A version belongs to the writer whose claim file was created first; others take the next one. A writer that dies
+    after its claim leaves a version without a row.
     """
     path = get_run(spark, root, run_id)["model_path"]
     if path is None:
         raise ValueError(f"run {run_id} has no model")
-    while True:
-        known = _versions(spark, root, name)
-        version = 1 if known is None else known.agg(F.max("version")).first()[0] + 1
-        row = (name, version, run_id, path, datetime.now(timezone.utc))
-        try:
-            _record(spark, row, MODELS_SCHEMA, f"{_name_folder(root, name)}/{version}")
-            return version
-        except AnalysisException as taken:
-            if taken.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
+    known = _versions(spark, root, name)
+    version = (known.agg(F.max("version")).first()[0] or 0) + 1 if known is not None else 1
+    while not _claim(spark, f"{root}/claims/{_name_digest(name)}/{version}"):
+        version += 1
+    row = (name, version, run_id, path, datetime.now(timezone.utc))
+    _record(spark, row, MODELS_SCHEMA, f"{_name_folder(root, name)}/{version}")
+    return version
 
 
 def load_run_model(spark: SparkSession, root: str, run_id: str) -> Model:

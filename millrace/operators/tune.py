@@ -12,11 +12,13 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators import trees
 from millrace.operators.evaluate import evaluate_binary
 from millrace.operators.models import spark_params
 from millrace.operators.runs import log_run, new_run_id
@@ -82,32 +84,60 @@ def cross_validate(
 ) -> CrossValidation:
     """k-fold cross-validation over a grid; the best point is fitted again on all rows.
 
+    Points of a classification tree that differ in depth alone share a fit: the deepest tree, cut off (``trees``).
     ``key`` identifies a row and decides its fold. The evaluator is the area under Spark's thinned ROC
     curve unless given. ``fit_partitions`` lets a fit on a small table use fewer tasks.
     """
     evaluator = BinaryClassificationEvaluator() if evaluator is None else evaluator
     folded = assign_folds(df, key, k, seed, stratify, column="_fold").select("label", "features", "_fold")
+    shared = _by_depth(estimator, param_maps, evaluator)
     with persisted(folded) as kept:
         data = _tasks(kept, fit_partitions)
 
-        def trial(point: int, fold: int) -> Callable:
-            def run() -> float:
-                model = estimator.fit(data.filter(F.col("_fold") != fold), dict(param_maps[point]))
-                return evaluator.evaluate(model.transform(data.filter(F.col("_fold") == fold)))
+        def trial(points: list[int], fold: int) -> Callable:
+            def run() -> list[tuple[int, int, float]]:
+                test = data.filter(F.col("_fold") == fold)
+                model = estimator.fit(data.filter(F.col("_fold") != fold), dict(param_maps[points[-1]]))
+                if len(points) == 1:
+                    return [(points[0], fold, evaluator.evaluate(model.transform(test)))]
+                weighted = evaluator.copy({evaluator.weightCol: trees.ROWS})
+                depths = {p: _depth_of(estimator, param_maps[p]) for p in points}
+                scored = trees.scored_at_depths(model, test, sorted(set(depths.values())))
+                found = {depth: weighted.evaluate(rows) for depth, rows in scored.items()}
+                return [(p, fold, found[depths[p]]) for p in points]
 
             return run
 
-        places = [(point, fold) for point in range(len(param_maps)) for fold in range(k)]
-        metrics = _in_threads(df.sparkSession, [trial(*p) for p in places], parallelism)
-        means = [sum(m for (p, _), m in zip(places, metrics) if p == point) / k for point in range(len(param_maps))]
+        done = _in_threads(df.sparkSession, [trial(points, fold) for points in shared for fold in range(k)], parallelism)
+        metrics = {(point, fold): m for part in done for point, fold, m in part}
+        means = [sum(metrics[point, fold] for fold in range(k)) / k for point in range(len(param_maps))]
         pick = max if evaluator.isLargerBetter() else min
         best = means.index(pick(means))
         best_model = estimator.fit(data, dict(param_maps[best]))
-    rows = [(point, _as_text(param_maps[point]), fold, float(m)) for (point, fold), m in zip(places, metrics)]
+    rows = [(point, _as_text(param_maps[point]), fold, float(m)) for (point, fold), m in sorted(metrics.items())]
     table = df.sparkSession.createDataFrame(rows, "point int, params map<string,string>, fold int, metric double")
     return CrossValidation(best_model, best, _as_text(param_maps[best]), means, table)
 
 
+def _depth_of(estimator: Estimator, param_map: Mapping) -> int:
+    return param_map.get(estimator.maxDepth, estimator.getMaxDepth())
+
+
+def _by_depth(estimator: Estimator, param_maps: Sequence[Mapping], evaluator: Evaluator) -> list[list[int]]:
+    """Points that one fit serves, in the order of their depths: those of a classification tree that differ in depth
+    alone, if the evaluator can count rows by weights; else each point is alone."""
+    alone = [[p] for p in range(len(param_maps))]
+    if not isinstance(estimator, DecisionTreeClassifier) or not evaluator.hasParam("weightCol") or evaluator.isSet("weightCol"):
+        return alone
+    if estimator.isDefined("thresholds") or estimator.isDefined("weightCol"):
+        return alone
+    groups: dict[tuple, list[int]] = {}
+    for p, param_map in enumerate(param_maps):
+        rest = tuple(sorted((param.name, repr(v)) for param, v in param_map.items() if param.name != "maxDepth"))
+        groups.setdefault(rest, []).append(p)
+    return [sorted(points, key=lambda p: _depth_of(estimator, param_maps[p])) for points in groups.values()]
+
+
 def grid_search(
     estimator: Estimator, values: Mapping[str, Sequence], df: DataFrame, key: str | Sequence[str], **options
 ) -> CrossValidation:
@@ -177,33 +207,51 @@ def sampled_search(
 ) -> Search:
     """Fit one model per drawn parameter set and keep the one with the highest exact test AUC.
 
-    With ``runs_root`` each trial is written to the run table, under the parent run.
+    Boosted trees whose drawn parameters differ in ``n_estimators`` alone share the fit with the most trees, which is
+    scored after each of their numbers of trees; the best one is fitted anew if it has fewer. With ``runs_root`` each
+    trial is fitted and written to the run table, under the parent run.
     """
     spark = train.sparkSession
     drawn = [(r["trial"], dict(r["params"])) for r in draw_space(spark, space, max_evals, seed).collect()]
+
+    def whole(params: dict[str, float]) -> dict:
+        return {n: int(v) if isinstance(space[n], QuantUniform) and v == int(v) else v for n, v in params.items()}
+
+    shared: dict = {}
+    for number, params in drawn:
+        staged = runs_root is None and "n_estimators" in params and isinstance(make_estimator(**whole(params)), GBTClassifier)
+        rest = tuple(sorted((n, v) for n, v in params.items() if n != "n_estimators")) if staged else number
+        shared.setdefault(rest, []).append((number, params))
     with (
         persisted(train.select("label", "features")) as kept_train,
         persisted(test.select("label", "features")) as kept_test,
     ):
         fit_rows, test_rows = (_tasks(t, fit_partitions) for t in (kept_train, kept_test))
 
-        def trial(number: int, params: dict[str, float]) -> Callable:
-            def run() -> tuple[int, dict, float, Model]:
-                whole = {n: int(v) if isinstance(space[n], QuantUniform) and v == int(v) else v for n, v in params.items()}
-                model = make_estimator(**whole).fit(fit_rows)
+        def trial(some: list[tuple[int, dict]]) -> Callable:
+            def run() -> list[tuple[int, dict, float, Model | None]]:
+                number, params = max(some, key=lambda t: t[1].get("n_estimators", 0))
+                model = make_estimator(**whole(params)).fit(fit_rows)
+                if len(some) > 1:
+                    sizes = [int(p["n_estimators"]) for _, p in some]
+                    areas = {r["n_trees"]: r["roc_auc"] for r in trees.staged_auc(model, test_rows, sizes).collect()}
+                    most = int(params["n_estimators"])
+                    return [(i, p, areas[n], model if n == most else None) for (i, p), n in zip(some, sizes)]
                 auc = evaluate_binary(model.transform(test_rows), score="probability", num_bins=0)
                 if runs_root is not None:
                     log_run(
                         spark, runs_root, run_name=f"trial {number}", run_id=new_run_id(), model=model,
-                        params={n: str(v) for n, v in whole.items()},
+                        params={n: str(v) for n, v in whole(params).items()},
                         metrics={"test_auc": auc}, parent_run_id=parent_run_id,
                     )
-                return number, params, auc, model
+                return [(number, params, auc, model)]
 
             return run
 
-        done = _in_threads(spark, [trial(n, p) for n, p in drawn], parallelism)
-    _, best_params, best_auc, best_model = max(done, key=lambda t: (t[2], -t[0]))
-    rows = [(n, p, float(auc), -float(auc)) for n, p, auc, _ in done]
+        done = [t for part in _in_threads(spark, [trial(some) for some in shared.values()], parallelism) for t in part]
+        _, best_params, best_auc, best_model = max(done, key=lambda t: (t[2], -t[0]))
+        if best_model is None:
+            best_model = make_estimator(**whole(best_params)).fit(fit_rows)
+    rows = [(n, p, float(auc), -float(auc)) for n, p, auc, _ in sorted(done, key=lambda t: t[0])]
     table = spark.createDataFrame(rows, "trial int, params map<string,double>, auc double, loss double")
     return Search(best_model, best_params, best_auc, table)

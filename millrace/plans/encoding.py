@@ -54,6 +54,17 @@ def index_label(spark, sf):
     return features.index_label("o_orderstatus").fit(rows).transform(rows)
 
 
+@query(
+    "index_by_table",
+    """WITH s AS (SELECT o_custkey, row_number() OVER (ORDER BY count(*) DESC, o_custkey::VARCHAR) - 1 AS i FROM orders GROUP BY o_custkey)
+    SELECT o_orderkey, o_custkey, i::DOUBLE AS "o_custkeyIndex" FROM orders JOIN s USING (o_custkey)""",
+)
+def index_by_table(spark, sf):
+    """The index of a column of many levels, by a table of levels in place of a list on the driver."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return features.with_index(rows, "o_custkey", features.index_table(rows, "o_custkey"))
+
+
 def _slots(n: int) -> str:
     return ", ".join(f"(i = {k})::INT::DOUBLE AS s{k}" for k in range(n))
 

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.functions import positive_score
-from millrace.operators import evaluate, features, models, split
+from millrace.operators import evaluate, features, models, split, trees
 from millrace.plans.data import (
     GROUP_COLUMNS,
     GROUPED_ORDERS_SQL,
@@ -279,6 +279,60 @@ def tree_nodes(spark, sf):
     return models.tree_nodes(models.fit_tree(prepared_orders(spark, sf), max_depth=3))
 
 
+@query("tree_walk", _MAJORITY_SQL)
+def tree_walk(spark, sf):
+    """Rows walked through the saved nodes of a full tree, without the model: the leaves' classes."""
+    prepared = prepared_groups(spark, sf)
+    nodes = models.tree_nodes(models.fit_tree(prepared, max_depth=ALL_CATEGORIES_APART))
+    walked = trees.walk(prepared.select("features", *GROUP_COLUMNS), nodes)
+    return _by_group(walked.join(nodes.select("node", "prediction"), "node"), "prediction")
+
+
+@query(
+    "tree_sizes",
+    f"""WITH {GROUPED_ORDERS_SQL} SELECT true AS one_more_leaf, true AS all_rows, true AS deep_enough""",
+)
+def tree_sizes(spark, sf):
+    """What the node table and the summary of a tree say of each other: leaves are inner nodes and one; the leaves hold
+    all rows; the depth is that of the deepest node."""
+    with persisted(prepared_groups(spark, sf)) as prepared:
+        model = models.fit_tree(prepared, max_depth=ALL_CATEGORIES_APART)
+        nodes, summary = models.tree_nodes(model), models.tree_summary(model).first()
+        walked, n = trees.walk(prepared.select("features"), nodes).groupBy("node").count(), prepared.count()
+        reached = walked.agg(F.sum("count")).first()[0]
+    leaf = F.col("left_child").isNull()
+    counts = nodes.agg(F.count_if(leaf).alias("leaves"), F.count_if(~leaf).alias("inner"), F.count("*").alias("all"))
+    depth = F.lit(summary["depth"])
+    return counts.select(
+        ((F.col("leaves") == F.col("inner") + 1) & (F.col("all") == summary["n_nodes"])).alias("one_more_leaf"),
+        F.lit(reached == n).alias("all_rows"),
+        ((F.ceil(F.log2(F.col("leaves"))) <= depth) & (depth < F.col("leaves"))).alias("deep_enough"),
+    )
+
+
+STAGES = (1, 2, 10, 60)
+
+
+@query(
+    "gbt_staged",
+    f"""WITH RECURSIVE {GROUPED_ORDERS_SQL},
+    y AS (SELECT o_orderstatus, o_orderpriority, avg(label) AS p, count(*) AS n FROM g GROUP BY o_orderstatus, o_orderpriority),
+    f AS (SELECT o_orderstatus, o_orderpriority, p, n, 1 AS n_trees, 2 * p - 1 AS f FROM y
+          UNION ALL
+          SELECT o_orderstatus, o_orderpriority, p, n, n_trees + 1,
+                 f + 0.1::DOUBLE * (4 * p / (1 + exp(2 * f)) - 4 * (1 - p) / (1 + exp(-2 * f)))
+          FROM f WHERE n_trees < {STAGES[-1]})
+    SELECT o_orderstatus, o_orderpriority, n_trees, round(f, 4) AS margin, n FROM f WHERE n_trees IN {STAGES}""",
+)
+def gbt_staged(spark, sf):
+    """Margins after several numbers of boosted trees, all from one fit: a step of each is a tenth of the mean gradient."""
+    prepared = prepared_groups(spark, sf)
+    with persisted(prepared.coalesce(1)) as kept:
+        model = models.fit_gbt(kept, n_estimators=STAGES[-1], max_depth=ALL_CATEGORIES_APART)
+    margins = trees.staged_margins(model, prepared, STAGES, GROUP_COLUMNS).withColumn("margin", F.round("margin", 4))
+    return margins.groupBy(*GROUP_COLUMNS, "n_trees", "margin").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("param_table")
 def param_table(spark, sf):
     """Parameters of a model fitted on the given tables."""

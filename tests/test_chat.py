@@ -94,3 +94,10 @@ def test_batch_infer(spark):
     out = infer.batch_infer(df, ["x", "w"], make_predict_fn, T.DoubleType(), 64, [[2], None])
     assert {r["id"]: r["prediction"] for r in out.collect()} == {i: (i + 1) * 2.0 for i in range(300)}
     assert out.filter(F.col("prediction").isNull()).count() == 0
+
+
+def test_padding_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, [1], "a", "b", 0), (1, [1, 2], "c", "d", 0)], "batch int, tokens array<int>, _batch string, _longest string, longest int")
+    out = chat.pad_tokens(df, "tokens", "batch", 9)
+    assert out.columns == [*df.columns, "input_ids"]
+    assert sorted((r["_batch"], r["_longest"], r["input_ids"]) for r in out.collect()) == [("a", "b", [1, 9]), ("c", "d", [1, 2])]

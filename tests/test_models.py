@@ -4,10 +4,11 @@ import time
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.functions import positive_score
-from millrace.operators import evaluate, features, models, runs, split, tune
+from millrace.operators import evaluate, features, models, runs, split, trees, tune
 from millrace.plans.modeling import prepared_groups
 from millrace.session import scratch_path
 from millrace.sources import load_model, save_model, table
@@ -107,6 +108,27 @@ def test_unseen_category(spark):
     assert lenient.transform(new).count() == 1
 
 
+@pytest.mark.parametrize("rows_per_task", [3, 1_000_000])
+def test_index_table(spark, rows_per_task):
+    """A table of levels indexes as the fitted indexer does, over several ranges, ties and hot levels too."""
+    rows = [(f"v{i % 40}" if i % 3 else "hot", i) for i in range(500)]
+    df = spark.createDataFrame(rows, "`c.c` string, value int")
+    levels = features.index_table(df, "c.c", rows_per_task)
+    fitted = features.index_categories(["c"]).fit(df.select(F.col("`c.c`").alias("c")))
+    assert [r["value"] for r in levels.orderBy("index").collect()] == list(fitted.labelsArray[0])
+    assert levels.agg(F.sum("n")).first()[0] == 500
+    found = features.with_index(df, "c.c", levels)
+    assert found.columns == ["c.c", "value", "c.cIndex"] and found.count() == 500
+    at = {v: float(i) for i, v in enumerate(fitted.labelsArray[0])}
+    assert all(r["c.cIndex"] == at[r["c.c"]] for r in found.collect())
+    odd = spark.createDataFrame([("hot", 1), ("new", 2), (None, 3)], "`c.c` string, value int")
+    assert [r["c.cIndex"] for r in features.with_index(odd, "c.c", levels, handle_invalid="keep").orderBy("value").collect()] == [0.0, 41.0, 41.0]
+    assert features.with_index(odd, "c.c", levels, handle_invalid="skip").count() == 1
+    with pytest.raises(Exception, match="unknown category"):
+        features.with_index(odd, "c.c", levels).collect()
+    assert features.index_table(df.filter("false"), "c.c").count() == 0
+
+
 def test_index_ties_by_name(spark):
     df = spark.createDataFrame([(v,) for v in ["b", "c", "a", "c", "b", "a", "d"]], "v string")
     fitted = features.index_categories(["v"]).fit(df)
@@ -157,6 +179,89 @@ def test_grid_search_accuracy(planted):
     assert found.mean_metrics[found.best_point] > 0.85
 
 
+def test_depths_share_a_fit(planted, monkeypatch):
+    """Metrics of cut trees are those of trees fitted to each depth, and one fit serves all depths."""
+    prepared, _, _ = planted
+    estimator = models.tree()
+    points = tune.grid(estimator, {"max_depth": [5, 0, 2, 3, 1], "min_samples_leaf": [1, 40]})
+    fits = []
+    fit = type(estimator).fit
+    monkeypatch.setattr(type(estimator), "fit", lambda self, *a: fits.append(a) or fit(self, *a))
+    for evaluator in (None, MulticlassClassificationEvaluator(metricName="accuracy")):
+        fits.clear()
+        shared = tune.cross_validate(estimator, points, prepared, "key", evaluator, k=2, seed=2)
+        assert len(fits) == 2 * 2 + 1
+        monkeypatch.setattr(tune, "_by_depth", lambda e, maps, _: [[p] for p in range(len(maps))])
+        alone = tune.cross_validate(estimator, points, prepared, "key", evaluator, k=2, seed=2)
+        monkeypatch.undo()
+        monkeypatch.setattr(type(estimator), "fit", lambda self, *a: fits.append(a) or fit(self, *a))
+        assert shared.mean_metrics == pytest.approx(alone.mean_metrics, abs=1e-12)
+        assert shared.best_point == alone.best_point
+        rows = lambda cv: [tuple(r) for r in cv.table.select("point", "fold", F.round("metric", 10)).collect()]
+        assert rows(shared) == rows(alone)
+
+
+def test_cut_trees_predict_as_fitted_ones(planted):
+    _, train, test = planted
+    deep = models.fit_tree(train, max_depth=7)
+    found = trees.scored_at_depths(deep, test, [0, 1, 2, 4, 7])
+    for depth, rows in found.items():
+        own = models.predict(models.fit_tree(train, max_depth=depth), test)
+        counts = own.groupBy("label", vector_to_array("rawPrediction").alias("raw"), "prediction").count().collect()
+        cut = rows.select("label", vector_to_array("rawPrediction").alias("raw"), "prediction", "rows_").collect()
+        of = lambda rows: sorted((r[0], list(r[1]), r[2], r[3]) for r in rows)
+        merged = {}
+        for label, raw, prediction, n in of(cut):
+            merged[label, *raw, prediction] = merged.get((label, *raw, prediction), 0) + n
+        assert merged == {(r[0], *r[1], r[2]): r[3] for r in of(counts)}
+
+
+def test_staged_scores_are_those_of_smaller_fits(planted):
+    _, train, test = planted
+    model = models.fit_gbt(train, n_estimators=8, learning_rate=0.3)
+    staged = {r["n_trees"]: r["roc_auc"] for r in trees.staged_auc(model, test, [8, 1, 3]).collect()}
+    for n, auc in staged.items():
+        pred = models.predict(models.fit_gbt(train, n_estimators=n, learning_rate=0.3), test).withColumn("score", positive_score())
+        assert auc == pytest.approx(evaluate.roc_auc(pred).first()[0], abs=1e-12)
+    assert sorted(staged) == [1, 3, 8]
+    with pytest.raises(ValueError):
+        trees.staged_auc(model, test, [9])
+
+
+def test_search_shares_fits(planted, monkeypatch):
+    _, train, test = planted
+    space = {"n_estimators": tune.QuantUniform(1, 6), "max_depth": tune.QuantUniform(1, 2)}
+    fits = []
+    monkeypatch.setattr(tune.GBTClassifier, "fit", lambda self, *a, f=tune.GBTClassifier.fit: fits.append(a) or f(self, *a))
+    found = tune.sampled_search(models.gbt, space, train, test, 9, 2, 5)
+    assert len(fits) <= 3 and found.table.count() == 9
+    for r in found.table.collect():
+        if r["auc"] == found.best_auc or r["trial"] == 0:
+            params = {n: int(v) for n, v in r["params"].items()}
+            pred = models.predict(models.fit_gbt(train, **params), test).withColumn("score", positive_score())
+            assert r["auc"] == pytest.approx(evaluate.roc_auc(pred).first()[0], abs=1e-12)
+    assert len(found.best_model.trees) == int(found.best_params["n_estimators"])
+
+
+def test_rows_walk_the_node_table(planted, spark):
+    prepared, train, test = planted
+    model = models.fit_tree(train, max_depth=6)
+    nodes = models.tree_nodes(model)
+    walked = trees.walk(test, nodes).join(nodes.select("node", F.col("prediction").alias("found")), "node")
+    assert walked.count() == test.count()
+    both = models.predict(model, walked)
+    assert both.filter("found <> prediction").count() == 0
+    # A feature of categories: the model knows them from the column's metadata.
+    rows = spark.createDataFrame([("abcdef"[i % 6], float(i % 6 in (1, 4))) for i in range(60)], "c string, label double")
+    indexed = features.index_categories(["c"]).fit(rows).transform(rows)
+    ready = features.assemble([f for f in indexed.columns if f not in ("c", "label")]).transform(indexed)
+    grouped = models.fit_tree(ready, max_depth=2)
+    nodes = models.tree_nodes(grouped)
+    assert nodes.filter("n_categories IS NOT NULL").count() > 0
+    walked = trees.walk(ready, nodes).join(nodes.select("node", F.col("prediction").alias("found")), "node")
+    assert walked.filter("found = label").count() == 60
+
+
 SPACE = {"n_estimators": tune.QuantUniform(2, 4), "learning_rate": tune.LogUniform(-3, 0), "max_depth": tune.QuantUniform(1, 2)}
 
 
@@ -223,6 +328,19 @@ def test_versions(planted, spark):
         runs.register_model(spark, root, "a", empty)
 
 
+def test_two_writers_never_share_a_version(planted, spark):
+    from multiprocessing.pool import ThreadPool
+
+    _, train, _ = planted
+    root = scratch_path(spark, "models")
+    run = runs.log_run(spark, root, model=models.fit_tree(train, max_depth=1))
+    with ThreadPool(6) as pool:
+        versions = pool.map(lambda _: runs.register_model(spark, root, "name", run), range(12))
+    assert sorted(versions) == list(range(1, 13))
+    assert runs.models_table(spark, root).count() == 12
+    assert not runs._claim(spark, f"{root}/claims/{runs._name_digest('name')}/3")
+
+
 def test_concurrent_records(spark):
     """Runs recorded at the same time all arrive."""
     from multiprocessing.pool import ThreadPool
