@@ -20,11 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import words as W
-from millrace.llm.arrow import map_text, named
-from millrace.llm.quality import held_out
-
-#: Training documents of each language, about, at most; a hash of the id chooses them.
-SAMPLE_DOCS = 120
+from millrace.llm.arrow import lists, map_text, named
+from millrace.llm.quality import held_out, threshold
+
+#: Bytes of training text of each language, about, at most, in pieces of so many characters; a hash of the id and the
+#: piece's number chooses them.
+SAMPLE_BYTES, PIECE = 240_000, 2_000
+#: Languages that a fit learns at most; more are an error.
+MOST_LANGS = 500
 #: Words of a stretch in a training chain.
 STRETCH = 25
 #: Steps of the fit, its rate, and the pull of weights to 0.
@@ -231,19 +234,32 @@ def _predict(model, texts: pa.Array) -> list[pa.Array]:
 
 
 def fit_languages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-                  sample_docs: int = SAMPLE_DOCS, seed: int = 1, **options) -> Model:
-    """Learn from a sample of documents with a language, outside the held-out rows (see ``quality.held_out``).
+                  sample_bytes: int = SAMPLE_BYTES, seed: int = 1, **options) -> Model:
+    """Learn from a sample of texts with a language, outside the held-out rows (see ``quality.held_out``).
 
-    About ``sample_docs`` whole documents of each language are collected (all, if there are fewer).
+    About ``sample_bytes`` of each language are collected, in pieces of PIECE characters without the words cut at their
+    ends (all, if there are fewer). A language with text of which no piece is drawn is an error, as more than MOST_LANGS
+    languages are.
     """
-    mine = docs.select(named(doc_id).alias("id"), named(text).alias("text"), named(lang).cast("string").alias("lang"))
+    mine = docs.select(named(doc_id).alias("id"), named(text).cast("string").alias("text"), named(lang).cast("string").alias("lang"))
     mine = mine.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    counts = {r["lang"]: r["count"] for r in mine.groupBy("lang").count().collect()}  # a row for each language
-    if not counts:
+    sizes = mine.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).limit(MOST_LANGS + 1).collect()
+    sizes = {r["lang"]: r["bytes"] for r in sizes}
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    if not sizes:
         return fit_chain([], [], seed=seed, **options)
-    shares = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, int(min(1.0, sample_docs / n) * (1 << 20)))])
-    used = mine.filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < F.element_at(shares, F.col("lang")))
-    rows = used.select("id", "lang", "text").toArrow().to_pandas().sort_values(["id", "lang", "text"])
+    limits = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, threshold(min(1.0, sample_bytes / max(1, n))))])
+    last = F.floor((F.greatest(F.length("text"), F.lit(1)) - 1) / PIECE).cast("int")
+    pieces = mine.select("id", "lang", "text", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    pieces = pieces.filter(F.xxhash64("id", "piece", F.lit(seed)) <= F.element_at(limits, F.col("lang")))
+    part = F.substring("text", F.col("piece") * PIECE + 1, F.lit(PIECE))
+    part = F.when(F.col("piece") > 0, F.regexp_replace(part, r"^\S+", "")).otherwise(part)
+    part = F.when(F.col("piece") < F.col("last"), F.regexp_replace(part, r"\S+$", "")).otherwise(part)
+    rows = pieces.select("id", "lang", "piece", part.alias("text")).toArrow().to_pandas().sort_values(["id", "lang", "piece", "text"])
+    missing = {name for name, n in sizes.items() if n} - set(rows["lang"])
+    if missing:
+        raise RuntimeError(f"no piece of {sorted(missing)} was drawn; take another seed or more bytes")
     return fit_chain(rows["text"].tolist(), rows["lang"].tolist(), seed=seed, **options)
 
 
@@ -257,3 +273,52 @@ def predict_languages(docs: DataFrame, model: Model, *, text: str = "text", keep
     sent = docs.sparkSession.sparkContext.broadcast(tuple(model))  # the weight table has a fixed size
     return map_text(docs, named(text), RESULT, lambda texts: _predict(sent, texts), keep)
 
+
+
+SPANS = T.StructType([T.StructField("spans", T.ArrayType(T.StructType([
+    T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("words", T.LongType()), T.StructField("lang", T.StringType())
+])))])
+
+
+def _spans(model, texts: pa.Array) -> list[pa.Array]:
+    """Runs of words with one language, text by text."""
+    model = Model(*model.value)
+    data, offsets = W.text_buffers(texts)
+    starts, ends, words, langs, counts = [], [], [], [], []
+    for low, high in W.groups(offsets):
+        edges = offsets[low : high + 1] - offsets[low]
+        parts = W.split_words(data, offsets[low : high + 1], LETTER, lower=True)
+        n = np.diff(parts.first)
+        if not len(parts.starts) or not model.langs:
+            counts.append(np.zeros(high - low, np.int64))
+            continue
+        doc = np.repeat(np.arange(high - low), n)
+        gamma, _ = posteriors(model, emissions(model.weights, word_features(parts)), np.diff(doc, prepend=-1) > 0)
+        best = gamma.argmax(axis=1)
+        new = np.ones(len(best), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (best[1:] != best[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(best)) - 1
+        points = np.concatenate(([0], np.cumsum((parts.data < 0x80) | (parts.data >= 0xC0))))  # code points up to each byte
+        base = points[edges[:-1]][doc[first]]
+        starts.append(points[parts.starts[first]] - base)
+        ends.append(points[parts.ends[last]] - base)
+        words.append(last - first + 1)
+        langs.append(np.array(model.langs, dtype=object)[best[first]])
+        counts.append(np.bincount(doc[first], minlength=high - low))
+    whole = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
+    values = pa.StructArray.from_arrays(
+        [whole(starts, pa.int64()), whole(ends, pa.int64()), whole(words, pa.int64()), whole(langs, pa.string())], names=["start", "end", "words", "lang"]
+    )
+    return [lists(values, np.concatenate(counts))]
+
+
+def language_spans(docs: DataFrame, model: Model, *, text: str = "text", keep=None) -> DataFrame:
+    """``row`` (a struct of the kept columns of docs, default all) and ``found.spans``: where the languages of a text lie.
+
+    Every word gets the language of its largest posterior, the first by name in a tie; a span (start, end, words, lang) is a
+    run of words of one language, in code points, from the start of its first to the end of its last word. Words are runs
+    of letters; texts without any, and null texts, have no spans, and so has everything if the model knows no language.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
+    return map_text(docs, named(text), SPANS, lambda texts: _spans(sent, texts), keep)

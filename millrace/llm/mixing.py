@@ -11,9 +11,9 @@ Documents are read twice (sums, draw); all rounds work on the table of cells.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import named, whole_row
@@ -66,26 +66,54 @@ def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(other, on, how).drop(*[f"_{k}" for k in keys])
 
 
+def _raised(cells: DataFrame, dimension: str, power: float) -> DataFrame:
+    sums = cells.groupBy(named(dimension)).agg(F.sum("mass").alias("mass_"))
+    return sums.select(named(dimension), F.pow("mass_", F.lit(power)).alias("share"))
+
+
 def tempered(cells: DataFrame, dimension: str, power: float = TEMPERATURE) -> DataFrame:
     """Target shares (value of the dimension, share): token shares to a power, made to sum to one."""
-    raised = cells.groupBy(dimension).agg(F.sum("mass").alias("_mass")).select(dimension, F.pow("_mass", F.lit(power)).alias("_raised"))
-    return _share(raised, dimension)
+    raised = _raised(cells, dimension, power)
+    total = raised.agg(F.sum("share")).head()[0] or 1.0
+    return raised.withColumn("share", F.col("share") / F.lit(total))
+
+
+def largest_gap(cells: DataFrame, dims: Sequence[str]) -> tuple[float, str]:
+    """The largest gap of summed weights to target shares above 0, relative to the target, and its dimension.
 
+    ``cells`` has ``share_0``, ``share_1``, ... beside the dimensions; all of these are summed in one aggregate.
+    """
+    marks = [F.struct(F.lit(d).alias("name"), named(d).cast("string").alias("value"), F.col(f"share_{i}").alias("share")) for i, d in enumerate(dims)]
+    sums = cells.select("weight", F.explode(F.array(*marks)).alias("m")).filter("m.share > 0")
+    gaps = sums.groupBy("m.name", "m.value").agg((F.abs(F.sum("weight") / F.max("m.share") - 1)).alias("gap"))
+    row = gaps.agg(F.max("gap").alias("gap"), F.max_by("name", "gap").alias("name")).head()
+    return (row["gap"], row["name"]) if row["name"] is not None else (0.0, "")
 
-def _share(raised: DataFrame, dimension: str) -> DataFrame:
-    total = raised.agg(F.sum("_raised")).head()[0] or 1.0
-    return raised.select(dimension, (F.col("_raised") / F.lit(total)).alias("share"))
 
+def _with_shares(cells: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """The cells with their share of all mass as ``weight``, and the target share of each dimension's value.
 
-def largest_gap(cells: DataFrame, targets: Mapping[str, DataFrame]) -> tuple[float, str]:
-    """The largest gap of summed weights to target shares above 0, relative to the target, and its dimension."""
-    gaps = []
-    for name, target in targets.items():
-        sums = _joined(target.filter("share > 0"), cells.groupBy(name).agg(F.sum("weight").alias("have")), [name], "left")
-        gap = F.max(F.abs(F.coalesce("have", F.lit(0.0)) / F.col("share") - 1))
-        gaps.append(sums.agg(F.coalesce(gap, F.lit(0.0)).alias("gap"), F.lit(name).alias("name")))
-    rows = [row for gap in gaps for row in gap.collect()]
-    return max(((r["gap"], r["name"]) for r in rows), default=(0.0, ""))
+    Shares of values that no cell with mass has are left out; the rest sum to one.
+    """
+    out = cells
+    for i, (name, target) in enumerate(targets.items()):
+        out = _joined(out, target.select(named(name), F.col("share").alias(f"share_{i}")), [name], "left")
+    out = written(out, "cells")
+    # Each value's share once, whatever the number of its cells.
+    there = out.filter("mass > 0")
+    sums = []
+    for i, name in enumerate(targets):
+        shares = there.select(named(name).alias("v"), F.col(f"share_{i}").alias("s")).groupBy("v").agg(F.max("s").alias("s"))
+        sums.append(shares.agg(F.sum("s").alias("total")).select(F.lit(i).alias("i"), "total"))
+    totals = {}
+    if sums:
+        all_ = sums[0]
+        for one in sums[1:]:
+            all_ = all_.union(one)
+        totals = {r["i"]: r["total"] or 1.0 for r in all_.collect()}
+    mass = cells.agg(F.sum("mass")).head()[0] or 0.0
+    shares = {f"share_{i}": F.coalesce(F.col(f"share_{i}") / F.lit(totals[i]), F.lit(0.0)) for i in range(len(targets))}
+    return out.withColumns({**shares, "weight": F.col("mass") / F.lit(float(mass) or 1.0)})
 
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
@@ -96,18 +124,15 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
 
     ``cells`` has a column for each dimension and ``mass``; a target has the dimension's value and ``share``. Values
     without a target, and cells without mass, get weight 0. Targets for values that no cell has are left out, and the
-    rest made to sum to one. The table is written after every step, so that plans stay short.
+    rest made to sum to one. A round is one plan, in which each dimension scales the weights by their sums over its
+    values; the table of cells is written after it, so that plans stay short.
     """
-    mass = cells.agg(F.sum("mass")).head()[0] or 0.0
-    now = cells.withColumn("weight", F.col("mass") / F.lit(float(mass) or 1.0))
-    fixed = {}
-    for name, target in targets.items():
-        there = _joined(target.withColumnRenamed("share", "_raised"), cells.filter("mass > 0").select(name).distinct(), [name], "left_semi")
-        fixed[name] = written(_share(there, name), "targets")
+    dims = list(targets)
+    now = _with_shares(cells, targets)
     made, stalled, least = 0, 0, float("inf")
-    while fixed:
+    while dims:
         if made >= rounds:
-            gap, where = largest_gap(now, fixed)
+            gap, where = largest_gap(now, dims)
             if gap <= tolerance:
                 break
             least, stalled = (gap, 0) if gap < 0.99 * least else (least, stalled + 1)
@@ -115,11 +140,11 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
                 warnings.warn(f"targets can't be met together: {where} is off by {gap:.2%} of a target after {made} rounds", stacklevel=2)
                 break
         made += 1
-        for name, target in fixed.items():
-            sums = _joined(now.groupBy(name).agg(F.sum("weight").alias("have")), target, [name], "left")
-            scale = sums.select(name, F.when(F.col("have") > 0, F.coalesce("share", F.lit(0.0)) / F.col("have")).otherwise(0.0).alias("scale"))
-            now = written(_joined(now, scale, [name]).withColumn("weight", F.col("weight") * F.col("scale")).drop("scale"), "cells")
-    return now
+        for i, name in enumerate(dims):
+            have = F.sum("weight").over(Window.partitionBy(named(name)))
+            now = now.withColumn("have", have).withColumn("weight", F.when(F.col("have") > 0, F.col("weight") * (F.col(f"share_{i}") / F.col("have"))).otherwise(0.0)).drop("have")
+        now = written(now, "cells")
+    return now.drop(*[f"share_{i}" for i in range(len(dims))])
 
 
 def mix(docs: DataFrame, dimensions: Mapping[str, Column], n_tokens: Column, *, doc_id: str = "doc_id",
@@ -143,7 +168,7 @@ def mix(docs: DataFrame, dimensions: Mapping[str, Column], n_tokens: Column, *,
     )
     cells = written(rows.groupBy(*dims).agg(F.sum("n_tokens").cast("double").alias("mass")), "cells")
     targets = {d: (targets or {}).get(d) for d in dims}
-    targets = {d: tempered(cells, d, temperature) if t is None else t for d, t in targets.items()}
+    targets = {d: _raised(cells, d, temperature) if t is None else t for d, t in targets.items()}  # raking makes them sum to one
     raked = rake(cells, targets, rounds, tolerance)
     mass = cells.agg(F.sum("mass")).head()[0] or 0.0
     rate = F.when(F.col("mass") > 0, F.lit(budget) * F.col("weight") / (F.col("mass") / F.lit(mass or 1.0))).otherwise(0.0)

@@ -24,8 +24,8 @@ from millrace.operators.rank import exact_quantiles
 
 #: Labelled rows that a fit uses, about, at most; a hash of the id chooses them.
 SAMPLE = 20_000
-#: Preference pairs that a fit uses at most.
-PAIRS = 100_000
+#: Preference pairs for each row of a fit, about: a fit's pairs grow with its rows, which SAMPLE bounds.
+PAIRS_PER_ROW = 5
 #: Score at the learnt cut: documents from here on are predicted to be of label 1.
 CUT = 0.7
 #: Weight of the squared weights in the loss, per pair.
@@ -108,7 +108,7 @@ def text_features(texts: pa.Array) -> np.ndarray:
     return np.concatenate(out)
 
 
-def fit_pairs(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, seed: int = 1) -> QualityModel:
+def fit_pairs(x: np.ndarray, label: np.ndarray, pairs_per_row: int = PAIRS_PER_ROW, seed: int = 1) -> QualityModel:
     """Weights from pairs of a row of label 1 and a row of label 0, each side drawn in turn from a shuffled list.
 
     Without rows of label 0 every document is predicted 1, without rows of label 1 none is.
@@ -121,7 +121,7 @@ def fit_pairs(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, seed: int =
     scales = np.where(scales > 1e-9, scales, 1.0)
     z = (x - means) / scales
     rng = np.random.default_rng(seed)
-    n = min(pairs, len(ones) * len(zeros))
+    n = min(pairs_per_row * len(label), len(ones) * len(zeros))
     diff = z[np.resize(rng.permutation(ones), n)] - z[rng.choice(zeros, n)]
     w = np.zeros(z.shape[1])
     for _ in range(50):  # Newton steps
@@ -152,8 +152,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def threshold(share: float) -> int:
+    """The 64-bit integer up to which this share of all 64-bit integers lies."""
+    return min((1 << 63) - 1, round(share * (1 << 64)) - (1 << 63))
+
+
+def drawn(share: float, doc_id: Column, seed: int) -> Column:
+    """Whether the hash of an id lies in the first ``share`` of all hashes; all ids do if it is one or more."""
+    return F.lit(True) if share >= 1 else F.xxhash64(doc_id, F.lit(seed)) <= F.lit(threshold(share))
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-                sample: int = SAMPLE, pairs: int = PAIRS, seed: int = 1) -> QualityModel:
+                sample: int = SAMPLE, pairs_per_row: int = PAIRS_PER_ROW, seed: int = 1) -> QualityModel:
     """Learn from labelled documents outside the held-out rows.
 
     About ``sample`` labelled rows are used for the weights, chosen by a hash of their ids (all, if there are fewer); the
@@ -162,7 +172,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
     every = labels.select(named(doc_id).alias("id"), named(label).cast("int").alias("label"))
     every = every.filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
     share = min(1.0, sample / max(1, every.count()))
-    marked = every.filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    marked = every.filter(drawn(share, F.col("id"), seed))
     mine = docs.select(named(doc_id).alias("id"), named(text).alias("text"))
     # At most about `sample` small rows are broadcast and collected.
     used = mine.join(F.broadcast(marked), "id").select("id", "label", "text")
@@ -170,7 +180,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
     got = rows.select("row.id", "row.label", F.col("found.x").alias("x")).toArrow().to_pandas()
     got = got.assign(key=[tuple(v) for v in got["x"]]).sort_values(["id", "label", "key"])  # one order for any partitioning
     x = np.array(got["x"].tolist(), dtype=float).reshape(-1, len(FEATURES))
-    model = fit_pairs(x, got["label"].to_numpy(), pairs, seed)
+    model = fit_pairs(x, got["label"].to_numpy(), pairs_per_row, seed)
     return model._replace(cut=_whole_cut(mine, every, model)) if share < 1 and model.weights.any() else model
 
 

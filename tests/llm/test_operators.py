@@ -415,3 +415,49 @@ def test_native_plans(spark, sf):
     for name in ("op1_lines", "op2_winnow", "op3_secrets"):
         plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|Cartesian|BroadcastNestedLoopJoin", plan)
+
+
+def test_samples_of_any_size():
+    """Thresholds on whole 64-bit hashes: a sample out of a billion rows, or of 1e15, is as large as out of a thousand."""
+    for n in (1_000, 10**9, 125_829_121, 3 * 10**10, 10**15):
+        at = quality.threshold(120 / n) if n > 120 else quality.threshold(1.0)
+        assert abs((at + (1 << 63)) / (1 << 64) * n - 120) < 1e-2
+    assert quality.threshold(1.0) == (1 << 63) - 1
+
+
+def test_language_spans(spark, documents):
+    model = langid.fit_languages(documents)
+    one = {r.lang: r.text for r in documents.filter("lang IS NOT NULL AND n_chars BETWEEN 400 AND 2000").orderBy("doc_id").collect()}
+    langs = sorted(one)
+    mixed = "\U0001F600 " + " 12 ".join(one[x][:300] for x in langs)
+    rows = [(1, mixed), (2, None), (3, ""), (4, "1 2 3"), (5, one[langs[0]]), (6, mixed)]
+    found = {r["row"]["doc_id"]: r.found.spans for r in langid.language_spans(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert found[2] == found[3] == found[4] == [] and found[1] == found[6]
+    for i, text in ((1, mixed), (5, one[langs[0]])):
+        words = list(re.finditer(r"[A-Za-z\x80-\U0010FFFF]+", text))
+        data, offsets = langid.W.text_buffers(langid.pa.array([text]))
+        parts = langid.W.split_words(data, offsets, langid.LETTER, lower=True)
+        start = np.zeros(len(parts.starts), bool)
+        start[0] = True
+        best = langid.posteriors(model, langid.emissions(model.weights, langid.word_features(parts)), start)[0].argmax(axis=1)
+        assert len(words) == len(best)
+        expected = []
+        for w, b in zip(words, best):
+            if expected and expected[-1][3] == model.langs[b]:
+                expected[-1][1:3] = [w.end(), expected[-1][2] + 1]
+            else:
+                expected.append([w.start(), w.end(), 1, model.langs[b]])
+        assert [list(s) for s in found[i]] == expected
+    for x in langs:  # each stretch is found where it lies
+        low = mixed.index(one[x][:300])
+        inside = sum(max(0, min(s.end, low + 300) - max(s.start, low)) for s in found[1] if s.lang == x)
+        assert inside > 250
+
+
+def test_pieces_of_long_texts(spark, documents):
+    """A small budget draws pieces of long texts, not whole ones, of every language."""
+    model = langid.fit_languages(documents, sample_bytes=20_000)
+    assert model.langs == sorted(r.lang for r in documents.select("lang").distinct().collect() if r.lang)
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit_languages(documents.withColumn("lang", F.col("doc_id").cast("string")).unionByName(
+            spark.range(10_000, 10_900).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text"), F.col("id").cast("string").alias("lang")), allowMissingColumns=True))
