@@ -1,13 +1,14 @@
 """Line dedup by an exact set-similarity join, with DataFrame functions alone.
 
-A line is the set of its words. Words are ordered from rare to frequent; two sets of similarity t share a word among the
-first ``n - ceil(t n) + 1`` of each, so only those prefixes are matched. Matches are dropped where the set sizes, the places
-of the shared word or the sets' bitmaps (each word flips one bit) can't allow the similarity; the rest is verified on
-the whole sets.
+A line is the set of its words. Lines of one set are a class, known by its earliest line; all others of it go. Only classes
+are joined, so copies of a line, however many, take part once. Words are ordered from rare to frequent; two sets of
+similarity t share a word among the first ``n - ceil(t n) + 1`` of each, so only those prefixes are matched. Matches are
+dropped where the set sizes, the places of the shared word or the sets' bitmaps (each word flips one bit) can't allow the
+similarity; the rest is verified on the whole sets.
 
-A line goes if an earlier line is equal or similar to it. In each group of lines with one prefix word, lines are first
-compared with the earliest of the group; only lines that are still there after that are compared with all earlier ones.
-So a group of copies yields as many pairs as lines.
+A class goes if an earlier class is similar to it: an earlier line that resembles its first line has a class whose own first
+line is earlier still. In each group of classes with one prefix word, they are first compared with the earliest of the
+group; only those that are still there after that are compared with all earlier ones.
 
 Rarity is counted over all texts in a fixed number of buckets of word hashes. Any order of words gives the same result;
 the counts only make prefixes selective.
@@ -27,6 +28,8 @@ PERCENT = 80
 #: Buckets in which word frequencies are counted.
 BUCKET_BITS = 14
 LOW_BITS = 63 - BUCKET_BITS
+#: What names a line: its document, a hash of the document's text (rows of one id may differ), its number.
+LINE = ["doc", "version", "line"]
 
 
 def _words(line: Column) -> Column:
@@ -38,8 +41,9 @@ def _bucket(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")
 
 
-def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(named(doc_id).alias("doc"), F.posexplode(F.split(F.coalesce(named(text).cast("string"), F.lit("")), "\n")).alias("line", "content"))
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    content = F.coalesce(named(text).cast("string"), F.lit(""))
+    return docs.select(named(doc_id).alias("doc"), F.xxhash64(content).alias("version"), content.alias("text")).filter("doc IS NOT NULL")
 
 
 def rarity(docs: DataFrame, text: str) -> Column:
@@ -65,60 +69,69 @@ def _codes(line: Column, ranks: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(_words(line), code)))
 
 
-def _least_common(n1: str, n2: str, percent: int) -> Column:
-    """Shared words that the similarity asks for, times (100 + percent)."""
-    return (F.col(n1) + F.col(n2)) * percent
-
-
 def _may_match(percent: int) -> Column:
     """Length, positional and bitmap filter for rows (n, pos, bits) and (fn, fpos, fbits) that share a prefix word."""
     most = F.least(F.col("n") - F.col("pos"), F.col("fn") - F.col("fpos")) * (100 + percent)
     differ = F.bit_count(F.col("bits").bitwiseXOR(F.col("fbits")))
     return (
         (F.least("n", "fn") * 100 >= F.greatest("n", "fn") * percent)
-        & (most >= _least_common("n", "fn", percent))
+        & (most >= (F.col("n") + F.col("fn")) * percent)
         & (differ * (100 + percent) <= (F.col("n") + F.col("fn")) * (100 - percent))
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, ranks: Column, percent: int) -> DataFrame:
-    """Later lines (doc, line) of the pairs whose whole sets are similar enough."""
+def _verified(pairs: DataFrame, texts: DataFrame, ranks: Column, percent: int) -> DataFrame:
+    """Later lines of the pairs whose whole sets are similar enough."""
     pairs = written(pairs, "pairs")
-    ends = pairs.select("doc", "line").union(pairs.select("fdoc", "fline")).distinct()
-    wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("wanted"))  # lines of one document
-    mine = docs.select(named(doc_id).alias("doc"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text")).join(wanted.hint("merge"), "doc")
-    sets = mine.select("doc", F.explode(F.array_distinct("wanted")).alias("line"), F.split("text", "\n").alias("all"))
-    sets = written(sets.select("doc", "line", _codes(F.get("all", F.col("line")), ranks).alias("set")), "sets")
-    other = sets.toDF("fdoc", "fline", "fset")
-    both = pairs.join(sets, ["doc", "line"]).join(other, ["fdoc", "fline"])
+    ends = pairs.select(*LINE).union(pairs.select(*[f"f{c}" for c in LINE])).distinct()
+    wanted = ends.groupBy("doc", "version").agg(F.collect_list("line").alias("wanted"))  # lines of one document
+    mine = texts.join(wanted.hint("merge"), ["doc", "version"])
+    sets = mine.select("doc", "version", F.explode("wanted").alias("line"), F.split("text", "\n").alias("all")).distinct()
+    sets = written(sets.select(*LINE, _codes(F.get("all", F.col("line")), ranks).alias("set")), "sets")
+    other = sets.toDF(*[f"f{c}" for c in LINE], "fset")
+    both = pairs.join(sets, LINE).join(other, [f"f{c}" for c in LINE])
     common = F.size(F.array_intersect("set", "fset"))
     either = F.size("set") + F.size("fset") - F.col("common")
-    return both.withColumn("common", common).filter(F.col("common") * 100 >= either * percent).select("doc", "line").distinct()
+    return both.withColumn("common", common).filter(F.col("common") * 100 >= either * percent).select(*LINE).distinct()
 
 
-def repeated_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(doc, line) of every line that an earlier one is equal or similar to, in ascending order of (doc_id, line)."""
-    ranks = rarity(docs, text)
+def first_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(doc, version, line) of every line with words that no earlier line is equal or similar to."""
+    texts, ranks = _texts(docs, doc_id, text), rarity(docs, text)
     flip = lambda acc, c: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int")))
     sketch = let(_codes(F.col("content"), ranks), lambda codes: F.struct(
+        F.xxhash64(codes).alias("k1"), F.xxhash64(F.lit("set"), codes).alias("k2"),
         F.size(codes).alias("n"),
         F.aggregate(codes, F.lit(0).cast("bigint"), flip).alias("bits"),
         F.slice(codes, 1, (F.size(codes) - F.ceil(F.size(codes) * percent / 100) + 1).cast("int")).alias("prefix"),
     ))
-    rows = _lines(docs, doc_id, text).filter("doc IS NOT NULL").select("doc", "line", sketch.alias("x"))
-    rows = written(rows.select("doc", "line", "x.n", "x.bits", F.posexplode("x.prefix").alias("pos", "word")), "prefixes")
+    lines = texts.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line", "content")).filter(F.col("content").rlike(r"\S"))
+    lines = lines.select(*LINE, sketch.alias("x")).select(*LINE, "x.*").filter("n > 0")
+    # One row for each set: its earliest line. Combined before the shuffle, so a line of a million copies is as cheap as one.
+    classes = lines.groupBy("k1", "k2").agg(F.min(F.struct(*LINE, "n", "bits", "prefix")).alias("e")).select("e.*")
+    classes = written(classes, "classes")
+    rows = classes.select(*LINE, "n", "bits", F.posexplode("prefix").alias("pos", "word"))
+
+    parts = [*LINE, "n", "pos", "bits"]
+    first = rows.groupBy("word").agg(F.count("*").alias("c"), F.min(F.struct(*parts)).alias("f")).filter("c > 1")
+    first = first.select("word", *[F.col(f"f.{c}").alias(f"f{c}") for c in parts])
+    earlier = F.struct(*[f"f{c}" for c in LINE]) < F.struct(*LINE)
+    both = [*LINE, *[f"f{c}" for c in LINE]]
+    pairs = rows.join(first, "word").filter(earlier & _may_match(percent)).select(*both).distinct()
+    gone = written(_verified(pairs, texts, ranks, percent), "gone")
+
+    # Classes that the earliest of their groups don't remove, against all earlier ones of their groups.
+    left = classes.join(gone, LINE, "left_anti").select(*LINE, "n", "bits", F.posexplode("prefix").alias("pos", "word"))
+    others = rows.toDF(*["word" if c == "word" else f"f{c}" for c in rows.columns])
+    pairs = left.join(others, "word").filter(earlier & _may_match(percent)).select(*both).distinct()
+    gone = gone.union(_verified(pairs, texts, ranks, percent))
+    return classes.select(*LINE).join(gone, LINE, "left_anti")
 
-    first = rows.groupBy("word").agg(F.count("*").alias("c"), F.min(F.struct("doc", "line", "n", "pos", "bits")).alias("f")).filter("c > 1")
-    first = first.select("word", *[F.col(f"f.{c}").alias(f"f{c}") for c in ("doc", "line", "n", "pos", "bits")])
-    earlier = F.struct("fdoc", "fline") < F.struct("doc", "line")
-    pairs = rows.join(first, "word").filter(earlier & _may_match(percent)).select("doc", "line", "fdoc", "fline").distinct()
-    gone = written(_verified(pairs, docs, doc_id, text, ranks, percent), "gone")
 
-    # Lines that the earliest of their groups don't remove, against all earlier lines of their groups.
-    left = rows.join(gone, ["doc", "line"], "left_anti")
-    others = rows.toDF(*["word" if c == "word" else f"f{c}" for c in rows.columns])
-    pairs = left.join(others, "word").filter(earlier & _may_match(percent)).select("doc", "line", "fdoc", "fline").distinct()
-    return gone.union(_verified(pairs, docs, doc_id, text, ranks, percent))
+def repeated_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(doc, line) of every line that an earlier one is equal or similar to, in ascending order of (doc_id, line)."""
+    removed = dedup_lines(docs, doc_id=doc_id, text=text, percent=percent, keep=[doc_id])
+    return removed.select(F.col("row").getField(doc_id).alias("doc"), F.explode("removed").alias("line")).distinct()
 
 
 def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, keep=None) -> DataFrame:
@@ -127,12 +140,17 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     Lines end at line feeds. A line goes if some earlier line (smaller doc_id, or the same and an earlier line) has an
     equal word set, or one of a Jaccard similarity of ``percent`` hundredths or more; all lines are judged on the input.
-    Lines without words stay. Null texts are empty: one line without words. Rows of one doc_id are one document: a line
-    number that goes, goes in each of them. Rows without a doc_id stay as they are. Extra columns pass through.
+    Lines without words stay. Null texts are empty: one line without words. Rows of one doc_id and one text are one
+    document, and are left alike; rows of one doc_id and different texts are documents of their own, in the order of a hash
+    of their texts. Rows without a doc_id stay as they are. Extra columns pass through.
     """
-    gone = repeated_lines(docs, doc_id=doc_id, text=text, percent=percent).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("removed"))
-    rows = docs.select(whole_row(docs, keep).alias("row"), named(doc_id).alias("doc"), F.split(F.coalesce(named(text).cast("string"), F.lit("")), "\n").alias("lines"))
-    joined = rows.join(gone, "doc", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
-    kept = F.array_join(F.filter("lines", lambda _, i: ~F.array_contains("removed", i)), "\n")
-    kept = F.when(F.size("removed") == 0, F.array_join("lines", "\n")).otherwise(kept)
+    mine = first_lines(docs, doc_id=doc_id, text=text, percent=percent).groupBy("doc", "version").agg(F.collect_list("line").alias("first"))
+    content = F.coalesce(named(text).cast("string"), F.lit(""))
+    rows = docs.select(whole_row(docs, keep).alias("row"), named(doc_id).alias("doc"), F.xxhash64(content).alias("version"), F.split(content, "\n").alias("lines"))
+    joined = rows.join(mine, ["doc", "version"], "left").withColumn("first", F.coalesce("first", F.array().cast("array<int>")))
+    words = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(r"\S"))
+    removed = F.when(F.col("doc").isNull(), F.array().cast("array<int>")).otherwise(F.array_except(words, F.col("first")))
+    joined = joined.withColumn("removed", removed)
+    kept = F.filter("lines", lambda _, i: ~F.array_contains("removed", i))
+    kept = F.when(F.size("removed") == 0, F.array_join("lines", "\n")).otherwise(F.array_join(kept, "\n"))
     return joined.select("row", F.size("lines").alias("n_lines"), "removed", kept.alias("kept"))
