@@ -1,8 +1,8 @@
 """Token ids of a corpus as directly addressable files, in ascending document order.
 
 Documents are dealt out by ranges of their ids, sorted, encoded and written shard by shard: one shuffle of the texts, and
-no task holds more than a shard of tokens. Files are written under a temporary name and then renamed; a task that runs
-twice writes the same files.
+no task holds more than a shard of tokens. Each file is one binary value of a table that Spark writes, so files go to the
+session's file system, and a task that runs twice or is lost leaves no half of one.
 """
 
 from __future__ import annotations
@@ -13,14 +13,14 @@ import re
 import sys
 import types
 import zlib
-from collections.abc import Iterator
-from itertools import chain, islice
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import named
@@ -54,14 +54,16 @@ LOWER_WORDS = [
 PLAIN = re.compile(r"(?!.*<\|)[!-&(-~]+")
 PIECE = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 
-FILES = "file string, part int, number int, n_docs long, n_tokens long"
+#: Characters of a text that ranges of documents are cut by where ids are alike.
+KEY_CHARS = 64
 
+#: A token file, beside the task that wrote it, its number there, and what it holds.
+FILES = "part int, number int, n_docs long, n_tokens long, file binary"
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder that executors share, and the folder's path in it."""
-    if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+def _packed(ids: Iterable[int]) -> bytes:
+    """Ids as 32-bit integers, in the machine's order."""
+    return array("I", ids).tobytes()
 
 
 class _Slots(dict):
@@ -73,9 +75,10 @@ class _Slots(dict):
 
 
 class Encoder:
-    """Token ids of whole texts, where every word between ASCII white space is encoded once.
+    """Token ids of whole texts.
 
-    For tokenizers that drop white space and never join tokens across it. A word's ids are then the same in any text.
+    A tokenizer whose steps are known to drop white space and never to join tokens across it (LOWER_WORDS) encodes every
+    word between ASCII white space once, as its ids are the same in any text. Any other encodes whole texts.
     """
 
     def __init__(self, path: str, kept_words: int = KEPT_WORDS):
@@ -83,45 +86,47 @@ class Encoder:
 
         self._tokenizer, self._kept = Tokenizer.from_file(path), kept_words
         self._model = self._tokenizer.model
-        # Only the tokenizer whose steps are known is taken apart into pieces; any other encodes its words whole.
         steps = json.loads(self._tokenizer.to_str())
-        self._plain = [steps["normalizer"], steps["pre_tokenizer"]] == LOWER_WORDS
+        self._by_word = [steps["normalizer"], steps["pre_tokenizer"]] == LOWER_WORDS
         self._clear()
 
     def _clear(self) -> None:
         self._slots, self._known, self._known_pieces = _Slots(), 0, {}
         self._ids, self._begin, self._count = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _pieces(self, word: str) -> list[int]:
+    def _pieces(self, word: str) -> bytes:
         """Ids of a word of printable ASCII without apostrophes: each run of letters, digit and run of other
         characters is a piece of its own, whose bytes the model reads as they are, in lower case."""
-        ids = []
+        ids = b""
         for piece in PIECE.findall(word.lower()):
             if piece not in self._known_pieces:
-                self._known_pieces[piece] = [t.id for t in self._model.tokenize(piece)]
+                self._known_pieces[piece] = _packed(t.id for t in self._model.tokenize(piece))
             ids += self._known_pieces[piece]
         return ids
 
     def _learn(self) -> None:
         """Encode the words that came new, plain ones by their pieces, the others by the whole tokenizer."""
         words = [w.decode() for w in islice(self._slots, self._known, None)]
-        plain = [self._plain and w.isascii() and PLAIN.fullmatch(w) is not None for w in words]
+        plain = [w.isascii() and PLAIN.fullmatch(w) is not None for w in words]
         other = iter(self._whole([w for w, p in zip(words, plain) if not p]))
         ids = [self._pieces(w) if p else next(other) for w, p in zip(words, plain)]
         if words:
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             begin = len(self._ids) + np.cumsum(counts) - counts
-            self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))])
+            self._ids = np.concatenate([self._ids, np.frombuffer(b"".join(ids), np.uint32)])
             self._begin, self._count = np.concatenate([self._begin, begin]), np.concatenate([self._count, counts])
             self._known = len(self._slots)
 
-    def _whole(self, words: list[str]) -> Iterator[list[int]]:
-        for i in range(0, len(words), 1000):
-            for coded in self._tokenizer.encode_batch_fast(words[i : i + 1000], add_special_tokens=False):
-                yield coded.ids
+    def _whole(self, texts: list[str]) -> Iterator[bytes]:
+        for i in range(0, len(texts), 1000):
+            for coded in self._tokenizer.encode_batch_fast(texts[i : i + 1000], add_special_tokens=False):
+                yield _packed(coded.ids)
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id behind it, and the number of ids of each."""
+        if not self._by_word:
+            coded = [ids + _packed([end_id]) for ids in self._whole([t.decode() for t in texts])]
+            return np.frombuffer(b"".join(coded), np.uint32), np.array([len(c) // 4 for c in coded], np.int64)
         if len(self._slots) > self._kept:
             self._clear()
         slot, n_words = [], np.empty(len(texts), np.int64)
@@ -146,22 +151,21 @@ def _encoder(path: str) -> Encoder:
     return vars(holder)[path]
 
 
-def _writer(folder: str, tokenizer: str, end_id: int, shard_tokens: int):
+def _writer(tokenizer: str, end_id: int, shard_tokens: int):
+    """A task's documents as token files: rows of FILES, each as large as a shard."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
-        encoder = _encoder(tokenizer)
-        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
-        system, base = _open(folder)
-        files, doc_ids, lengths, tokens, held = [], [], [], [], 0
+        encoder, part = _encoder(tokenizer), TaskContext.get().partitionId()
+        doc_ids, lengths, tokens, held, number = [], [], [], 0, 0
 
-        def flush():
-            name = f"{part:06d}-{len(files):06d}.dac"
+        def shard() -> pa.RecordBatch:
             n = np.concatenate(lengths)
-            with system.open_output_stream(temporary := f"{base}/_{name}.{attempt}") as out:
-                out.write(to_bytes(doc_ids, n, np.concatenate(tokens)))
-            system.move(temporary, f"{base}/{name}")
-            files.append((name, part, len(files), len(doc_ids), int(n.sum())))
+            made = to_bytes(doc_ids, n, np.concatenate(tokens))
+            columns = [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([len(doc_ids)], pa.int64()),
+                       pa.array([int(n.sum())], pa.int64()), pa.array([made], pa.binary())]
             doc_ids.clear(), lengths.clear(), tokens.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["part", "number", "n_docs", "n_tokens", "file"])
 
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
@@ -178,69 +182,66 @@ def _writer(folder: str, tokenizer: str, end_id: int, shard_tokens: int):
                     lengths.append(n)
                     held, first = held + len(got), last
                     if held >= shard_tokens:
-                        flush()
-                        held = 0
+                        yield shard()
+                        held, number = 0, number + 1
         if doc_ids:
-            flush()
-        if files:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*files)], names=["file", "part", "number", "n_docs", "n_tokens"]).cast(
-                pa.schema([("file", pa.string()), ("part", pa.int32()), ("number", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
-            )
+            yield shard()
 
     return run
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text",
-                 end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> list[tuple[str, int]]:
-    """Write the token files of whole texts and return (file name, tokens before it) in document order.
+                 end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> None:
+    """Write the token files of whole texts: a table of FILES in ``folder``, in any file system that Spark writes to.
 
     ``tokenizer`` is the path of a tokenizers file that every executor can read. Documents come in ascending id order
-    (null ids first, then by text); null texts are empty, and every document ends with ``end_id``. Repeated rows are
-    written each. Other columns are not read. An empty table writes no file.
-
-    The driver gets one short row for each file.
+    (null ids first, like ids by their text); null texts are empty, and every document ends with ``end_id``. Repeated
+    rows are written each. Other columns are not read. An empty table has no files.
     """
-    system, base = _open(folder)
-    system.create_dir(base, recursive=True)
     rows = docs.select(named(doc_id).cast("long").alias("doc_id"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(_writer(folder, tokenizer, end_id, shard_tokens), FILES).collect()
-    out, before = [], 0
-    for f in sorted(files, key=lambda f: (f.part, f.number)):
-        out.append((f.file, before))
-        before += f.n_tokens
-    return out
+    # Ranges are cut by ids, and within an id by the beginning of the text: short keys, in the order of the rows.
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, KEY_CHARS)).sortWithinPartitions("doc_id", "text")
+    ordered.mapInArrow(_writer(tokenizer, end_id, shard_tokens), FILES).write.option("compression", "uncompressed").parquet(folder)
+
+
+def file_starts(files: DataFrame) -> DataFrame:
+    """(part, number, before): the tokens before each file. Parts are added up first, then the files of each part."""
+    inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    along = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each task that wrote
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("all")).select("part", F.coalesce(F.sum("all").over(along), F.lit(0)).alias("begin"))
+    own = files.select("part", "number", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("inside"))
+    return own.join(parts, "part").select("part", "number", (F.col("begin") + F.col("inside")).alias("before"))
 
 
-def read_tokens(spark: SparkSession, folder: str, files: list[tuple[str, int]]) -> DataFrame:
+def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files.
 
     ``start`` counts the tokens of all documents before; ``ids_crc32`` is the checksum of a document's ids as
     little-endian unsigned 32-bit integers.
     """
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    if not files:
-        return spark.createDataFrame([], schema)
-    starts = spark.createDataFrame(files, "file string, before long")
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.dac").load(folder)
-    found = found.select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "content").join(F.broadcast(starts), "file")
+    files = spark.read.schema(FILES).parquet(folder)
+    schema = "part int, number int, doc_id long, at long, n_tokens long, ids_crc32 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, before in zip(batch.column("content"), batch.column("before").to_pylist()):
-                shard = TokenFile(content.as_buffer())
+            for part, number, file in zip(batch.column("part").to_pylist(), batch.column("number").to_pylist(), batch.column("file")):
+                shard = TokenFile(file.as_buffer())
                 tokens, at = shard.tokens().astype("<u4"), shard.starts
                 crc = [zlib.crc32(tokens[a:b].tobytes()) for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard.doc_ids, pa.int64()), pa.array(at[:-1] + before), pa.array(np.diff(at)), pa.array(crc, pa.int64())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                    [pa.array([part] * len(crc), pa.int32()), pa.array([number] * len(crc), pa.int32()), pa.array(shard.doc_ids, pa.int64()),
+                     pa.array(at[:-1]), pa.array(np.diff(at)), pa.array(crc, pa.int64())],
+                    names=["part", "number", "doc_id", "at", "n_tokens", "ids_crc32"],
                 )
 
-    return found.mapInArrow(run, schema)
+    read = files.select("part", "number", "file").mapInArrow(run, schema)
+    starts = file_starts(files.select("part", "number", "n_tokens"))
+    return read.join(starts, ["part", "number"]).select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_output(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
     """Write the token files below the shared folder and report on every document from them."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "tokens")
-    return read_tokens(spark, folder, write_tokens(docs, folder, tokenizer, **options))
+    write_tokens(docs, folder, tokenizer, **options)
+    return read_tokens(spark, folder)

@@ -55,15 +55,49 @@ def test_lines(spark, small, odd_rows, documents):
     some = documents.filter("doc_id < 60").select("doc_id", "text")
     rows = [(r.doc_id, r.text) for r in some.collect()]
     assert {tuple(r) for r in lines.repeated_lines(some).collect()} == line_removals(rows)
-    odd = [r for r in odd_rows if r[0] != 9]
-    found = lines.dedup_lines(small(odd))
-    assert found.count() == len(odd)
-    gone = line_removals([r[:2] for r in odd])
+    found = lines.dedup_lines(small(odd_rows))
+    assert found.count() == len(odd_rows)
+    gone = line_removals([r[:2] for r in odd_rows])
     for r in found.collect():
         assert r.removed == sorted(i for d, i in gone if d == r["row"]["doc_id"])
     assert lines.dedup_lines(small([])).count() == 0
 
 
+def test_copies_of_lines_take_part_once(spark, tmp_path):
+    """N copies that share a rare word with another line make no pair among themselves."""
+    often = " ".join(["x", "y"] * 3000)
+    docs = spark.createDataFrame([(0, "foo x"), *[(i, "foo y") for i in range(1, 2001)], (9000, often)], "doc_id long, text string")
+    kinds = []
+    original = lines.written
+    lines.written = lambda df, name: kinds.append((name, original(df, name))) or kinds[-1][1]
+    try:
+        removed = {(r.doc, r.line) for r in lines.repeated_lines(docs).collect()}
+    finally:
+        lines.written = original
+    assert removed == {(i, 0) for i in range(2, 2001)}
+    assert all(df.count() <= 2002 for name, df in kinds)
+
+
+def test_rows_of_one_id_are_judged_apart(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (3, "a b c"), (3, "quite other words here"), (3, "quite other words here"), (None, "a b c")], "doc_id long, text string")
+    kept = sorted((r["row"]["doc_id"] or 0, r.kept) for r in lines.dedup_lines(docs).collect())
+    assert kept == [(0, "a b c"), (1, "a b c"), (3, ""), (3, "quite other words here"), (3, "quite other words here")]
+
+
+def test_lines_query(spark, sf, documents):
+    some = documents.filter("doc_id < 60").select("doc_id", "text")
+    rows = [(r.doc_id, r.text or "") for r in some.collect()]
+    gone = line_removals(rows)
+    found = {r["row"]["doc_id"]: r for r in lines.dedup_lines(some).collect()}
+    for d, text in rows:
+        all_ = text.split("\n")
+        assert found[d].n_lines == len(all_) and found[d].kept == "\n".join(x for i, x in enumerate(all_) if (d, i) not in gone)
+    whole = {r.doc_id: r for r in queries.QUERIES["op1_lines"](spark, sf).collect()}
+    assert set(whole) == {r.doc_id for r in documents.select("doc_id").collect()}
+    for d, text in rows:  # earlier documents alone decide
+        assert whole[d].n_lines == len(text.split("\n")) and whole[d].n_removed == len(found[d].removed) and whole[d].kept_sha256 == sha(found[d].kept)
+
+
 # Fingerprints
 
 
@@ -342,6 +376,39 @@ def test_tokens(spark, small, odd_rows, corpus, sf):
         assert sorted(map(tuple, tokens.token_output(frame, path, shard_tokens=5000).collect()), key=lambda r: r[1]) == expected
 
 
+def test_other_tokenizers_and_folders(spark, tmp_path):
+    """A tokenizer that joins words over white space encodes whole texts; files go where the session's files go."""
+    from tokenizers import Tokenizer, models
+
+    path = str(tmp_path / "joins.json")
+    words = Tokenizer(models.WordLevel({"a b": 1, "a": 2, "b": 3, "[UNK]": 4}, unk_token="[UNK]"))
+    words.save(path)
+    docs = spark.createDataFrame([(1, "a b"), (2, "a"), (3, "b"), (4, None)], "doc_id long, text string")
+    found = sorted(map(tuple, tokens.token_output(docs, path).collect()))
+    crc = lambda *ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    assert found == [(1, 0, 2, crc(1, 2)), (2, 2, 2, crc(2, 2)), (3, 4, 2, crc(3, 2)), (4, 6, 1, crc(2))]
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.viewfs.mounttable.files.link./base", f"file://{tmp_path}")
+    conf.set("fs.defaultFS", "viewfs://files/")
+    try:
+        tokens.write_tokens(docs, "/base/tokens", path)
+        assert tokens.read_tokens(spark, "/base/tokens").count() == 4
+    finally:
+        conf.set("fs.defaultFS", before or "file:///")
+    assert list((tmp_path / "tokens").glob("*.parquet"))
+
+
+def test_files_of_repeated_ids(spark):
+    """Rows of one id, or of none, lie in several files; no join is forced to a broadcast."""
+    docs = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    out = tokens.token_output(docs, queries.tokenizer_path(), shard_tokens=500)
+    rows = sorted(r.start for r in out.collect())
+    total = out.agg(F.sum("n_tokens")).first()[0]
+    assert len(set(rows)) == 3000 and rows[0] == 0 and rows[-1] < total
+    assert "hint" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 # Substrings
 
 
