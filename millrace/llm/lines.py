@@ -106,7 +106,7 @@ def first_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         F.slice(codes, 1, (F.size(codes) - F.ceil(F.size(codes) * percent / 100) + 1).cast("int")).alias("prefix"),
     ))
     lines = texts.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line", "content")).filter(F.col("content").rlike(r"\S"))
-    lines = lines.select(*LINE, sketch.alias("x")).select(*LINE, "x.*").filter("n > 0")
+    lines = lines.select(*LINE, sketch.alias("x")).select(*LINE, "x.*")
     # One row for each set: its earliest line. Combined before the shuffle, so a line of a million copies is as cheap as one.
     classes = lines.groupBy("k1", "k2").agg(F.min(F.struct(*LINE, "n", "bits", "prefix")).alias("e")).select("e.*")
     classes = written(classes, "classes")
