@@ -86,8 +86,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, ranks: Column, percent: int) -
     ends = pairs.select(*LINE).union(pairs.select(*[f"f{c}" for c in LINE])).distinct()
     wanted = ends.groupBy("doc", "version").agg(F.collect_list("line").alias("wanted"))  # lines of one document
     mine = texts.join(wanted.hint("merge"), ["doc", "version"])
-    sets = mine.select("doc", "version", F.explode("wanted").alias("line"), F.split("text", "\n").alias("all")).distinct()
-    sets = written(sets.select(*LINE, _codes(F.get("all", F.col("line")), ranks).alias("set")), "sets")
+    sets = mine.select("doc", "version", F.explode("wanted").alias("line"), F.split("text", "\n").alias("all"))
+    sets = sets.select(*LINE, _codes(F.get("all", F.col("line")), ranks).alias("set"))
+    sets = written(sets.distinct(), "sets")  # rows of one id and text are one document
     other = sets.toDF(*[f"f{c}" for c in LINE], "fset")
     both = pairs.join(sets, LINE).join(other, [f"f{c}" for c in LINE])
     common = F.size(F.array_intersect("set", "fset"))
