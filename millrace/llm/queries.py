@@ -102,7 +102,7 @@ ORACLES["op10_mixing"] = mixing_sql()
 def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and how alike they are."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = winnow.ranges_for(docs, "text", 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     made = lambda df: df.withColumn("choices", winnow.chosen(F.col("text")))
     rows = winnow.with_next(docs, "doc_id", parts, made, ["text", "choices"])
     n, cut = F.length("text"), F.floor(F.length("text") / 4).cast("int")

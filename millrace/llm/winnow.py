@@ -10,6 +10,7 @@ smallest hash at the rightmost place. Minima over two, four, eight neighbours fo
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +23,9 @@ K, WINDOW = 5, 8
 PLACE_BITS = 32
 PLACES = (1 << PLACE_BITS) - 1
 HASHES = (1 << 31) - 1
+#: Bytes of text in a range of keys, and ranges that one sketch cuts.
+RANGE_BYTES = 64 << 20
+COARSE_RANGES = 512
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -107,28 +111,72 @@ def fingerprints(docs: DataFrame, *, text: str = "text", k: int = K, window: int
     return docs.select(whole_row(docs, keep).alias("row"), places_of(chosen(named(text), k, window)).alias("choices"))
 
 
+def _cuts(rows: DataFrame, key: str, parts: int) -> list[list[int]]:
+    """Cut points of the keys into about ``parts`` ranges of like many rows: a list of cuts for each coarse range.
+
+    Coarse ranges are few enough for one sketch; each is cut further by a sketch of its own, where there are more ranges.
+    The first cut of a coarse range but the first one is where it begins.
+    """
+    keys = rows.select(F.col(key).cast("bigint").alias("k")).filter("k IS NOT NULL")
+    coarse = min(parts, COARSE_RANGES)
+    if coarse < 2:
+        return [[]]
+    starts = sorted({int(c) for c in keys.approxQuantile("k", [i / coarse for i in range(1, coarse)], 1 / (4 * coarse))})
+    fine = -(-parts // coarse)
+    if fine < 2:
+        return [[], *[[c] for c in starts]]
+    shares = F.array(*[F.lit(i / fine) for i in range(1, fine)])
+    within = keys.groupBy(_place(F.array(*[F.lit(c) for c in starts]), "k").alias("at")).agg(F.percentile_approx("k", shares, F.lit(4 * fine)).alias("cuts"))
+    found = {r["at"]: r["cuts"] for r in within.collect()}
+    return [sorted({*([starts[i - 1]] if i else []), *[c for c in found.get(i, []) if not i or c > starts[i - 1]]}) for i in range(len(starts) + 1)]
+
+
+def _place(cuts: Column, key: str) -> Column:
+    """How many of the cuts are not above the key; null keys lie below all cuts."""
+    return F.when(F.col(key).isNull(), 0).otherwise(F.size(F.filter(cuts, lambda c: c <= F.col(key))))
+
+
+def _constant(values: list, kind: str) -> Column:
+    """A list as one literal, however long."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
+def ranges_for(rows: DataFrame, text: str, at_least: int = 1) -> int:
+    """Ranges of about ``RANGE_BYTES`` of text, and no fewer than ``at_least``: more text makes more ranges, not larger ones."""
+    size = rows.agg(F.sum(F.octet_length(named(text)))).head()[0] or 0
+    return max(at_least, 1, -(-size // RANGE_BYTES))
+
+
 def with_next(rows: DataFrame, key: str, parts: int, add: Callable[[DataFrame], DataFrame], carry: list[str]) -> DataFrame:
     """Rows with ``next_<c>`` of the row that follows by (key, c...) for each carried column; the first follows the last.
 
-    Keys are cut at ``parts - 1`` quantiles. The first row of each range also goes to the range before, so that a window
-    inside each range sees its follower, and the rows are shuffled once. ``add`` adds columns after the shuffle, before
-    the followers are looked up. Null keys come first.
+    Keys are cut into about ``parts`` ranges, each of which is one task's. The first row of each range also goes to the
+    range before, so that a window inside each range sees its follower, and the rows are shuffled once. ``add`` adds
+    columns after the shuffle, before the followers are looked up. Null keys come first. Rows of one key are in one range.
+    The driver holds two numbers for each range, as it does for each task.
     """
-    cuts = sorted(set(rows.approxQuantile(key, [i / parts for i in range(1, parts)], 1 / (4 * parts))))
-    cuts = F.array(*[F.lit(int(c)) for c in cuts]).cast("array<bigint>")
-    ranged = rows.withColumn("_range", F.when(F.col(key).isNull(), 0).otherwise(F.size(F.filter(cuts, lambda c: c <= F.col(key)))))
+    cuts = _cuts(rows, key, parts)
+    flat = [c[0] for c in cuts[1:]]
+    coarse = _place(_constant(flat, "array<bigint>"), key)
+    fine = _place(F.get(_constant(cuts, "array<array<bigint>>"), coarse), key)
+    before = [0]  # ranges that begin below the coarse range
+    for i, c in enumerate(cuts):
+        before.append(before[-1] + len(c) + (1 if i == 0 else 0))
+    # In all but the first coarse range the first cut is the start, so ``fine`` counts from 1 there.
+    number = F.get(_constant([b - (1 if i else 0) for i, b in enumerate(before[:-1])], "array<int>"), coarse) + fine
+    ranged = rows.withColumn("_range", number)
     # The first key of every range: as many as there are ranges.
     firsts = ranged.groupBy("_range").agg(F.min(F.struct(F.col(key).isNotNull().alias("there"), F.col(key).alias("key"))).alias("f")).collect()
     keys = {r["_range"]: r["f"]["key"] for r in firsts}
     used = sorted(keys)
-    before = {r: used[i - 1] for i, r in enumerate(used)}  # of the first range: the last one
-    n = (max(used) if used else 0) + 1
-    first_key = F.get(F.array(*[F.lit(keys.get(r)).cast("bigint") for r in range(n)]), F.col("_range"))
-    previous = F.get(F.array(*[F.lit(before.get(r)).cast("int") for r in range(n)]), F.col("_range"))
+    previous = {r: used[i - 1] for i, r in enumerate(used)}  # of the first range: the last one
+    n = before[-1]
+    first_key = F.get(_constant([keys.get(r) for r in range(n)], "array<bigint>"), F.col("_range"))
+    behind = F.get(_constant([previous.get(r) for r in range(n)], "array<int>"), F.col("_range"))
     own = F.struct(F.col("_range").alias("at"), F.lit(0).alias("guest"))
-    guest = F.struct(previous.alias("at"), F.lit(1).alias("guest"))
+    guest = F.struct(behind.alias("at"), F.lit(1).alias("guest"))
     dealt = ranged.withColumn("_to", F.explode(F.when(F.col(key).eqNullSafe(first_key), F.array(own, guest)).otherwise(F.array(own))))
-    dealt = dealt.withColumn("_at", F.col("_to.at")).repartition("_at")
+    dealt = dealt.withColumn("_at", F.col("_to.at")).repartitionById(n, F.col("_at"))
     order = Window.partitionBy("_at").orderBy(F.col("_to.guest"), F.col(key).asc_nulls_first(), *carry[:1])
     out = add(dealt)
     out = out.withColumns({f"next_{c}": F.lead(c).over(order) for c in carry})

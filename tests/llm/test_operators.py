@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, langid, lines, minhash, mixing, quality, queries, secrets, substrings, tokens, winnow
@@ -137,16 +138,96 @@ def test_winnow_query(spark, sf, corpus):
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
 
 
+def winnowed(text):
+    """(hash, place) of the choices, from the word hashes on by plain loops."""
+    words = re.findall(r"[^ \t\n\x0b\f\r]+", text)
+    if not words:
+        return []
+    h = [xx64(w.encode()) for w in words]
+    grams = [gram5(h[i : i + 5]) for i in range(len(h) - 4)] if len(h) >= 5 else [xx_longs(h)]
+    grams = [g & winnow.HASHES for g in grams]
+    w = min(winnow.WINDOW, len(grams))
+    places = set()
+    for i in range(len(grams) - w + 1):
+        least = min(grams[i : i + w])
+        places.add(max(j for j in range(i, i + w) if grams[j] == least))
+    return [(grams[p], p) for p in sorted(places)]
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def xx64(data, seed=42):
+    return signed(xxhash.xxh64_intdigest(data, seed=seed & (2**64 - 1)))
+
+
+def xx_longs(values):
+    """Spark's xxhash64 of several longs: each hashed with the hash so far as the seed."""
+    at = 42
+    for v in values:
+        at = xx64((v & (2**64 - 1)).to_bytes(8, "little"), at)
+    return at
+
+
+def gram5(h):
+    two = [xx_longs(h[i : i + 2]) for i in range(4)]
+    return xx_longs([xx_longs([two[0], two[2]]), h[4]])
+
+
+def test_winnow_query_by_brute_force(spark, sf, corpus):
+    """All columns of the query, for every document: fingerprints, those of the edited texts, and likenesses."""
+    rows = sorted(corpus)
+    of, told = {}, lambda c: ",".join(f"{h}:{p}" for h, p in c)
+    choices = lambda t: of.setdefault(t, winnowed(t))
+
+    def near(a, b):
+        a, b = {h for h, _ in a}, {h for h, _ in b}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    found = {r.doc_id: r for r in queries.QUERIES["op2_winnow"](spark, sf).collect()}
+    assert sorted(found) == [r[0] for r in rows]
+    for i, (doc, text, *_) in enumerate(rows):
+        after, r, cut = rows[(i + 1) % len(rows)][1], found[doc], len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        assert r.fingerprint == told(choices(text)) and r.edited_fingerprint == told(choices(edited))
+        assert abs(r.near_edited - near(choices(text), choices(edited))) < 1e-12
+        assert abs(r.near_next - near(choices(text), choices(after))) < 1e-12
+
+
 def test_next_rows(spark):
     one = lambda df: df
     df = spark.createDataFrame([(5, "e"), (None, "n"), (1, "a"), (5, "f"), (9, "z")], "doc_id long, text string")
-    for parts in (2, 5):
+    for parts in (1, 2, 5):
         found = sorted((r.text, r.next_text) for r in winnow.with_next(df, "doc_id", parts, one, ["text"]).collect())
         assert found == [("a", "e"), ("e", "f"), ("f", "z"), ("n", "a"), ("z", "n")]
     assert winnow.with_next(df.filter("false"), "doc_id", 4, one, ["text"]).count() == 0
     assert winnow.with_next(df.filter("text = 'a'"), "doc_id", 4, one, ["text"]).head().next_text == "a"
 
 
+@pytest.mark.parametrize("parts", [3, 8, 50, 300])
+def test_next_rows_in_two_steps_of_cuts(spark, monkeypatch, parts):
+    """More ranges than one sketch cuts; keys far apart and close together, negative, repeated and null."""
+    monkeypatch.setattr(winnow, "COARSE_RANGES", 8)
+    keys = [*range(200), *[10**12 + 7 * i for i in range(200)], *[-5 * i - 1 for i in range(100)], *[77] * 50, None, None]
+    df = spark.createDataFrame([(k, f"{i:04d}") for i, k in enumerate(keys)], "doc_id long, text string").repartition(5)
+    rows = sorted((k is not None, k or 0, f"{i:04d}") for i, k in enumerate(keys))
+    expected = {a[2]: b[2] for a, b in zip(rows, rows[1:] + rows[:1])}
+    out = winnow.with_next(df, "doc_id", parts, lambda d: d.withColumn("at", F.spark_partition_id()), ["text"])
+    found = out.collect()
+    assert {r.text: r.next_text for r in found} == expected and len(found) == len(rows)
+    sizes = sorted(Counter(r["at"] for r in found).values())
+    assert len(sizes) >= parts / 2 if parts < 100 else len(sizes) > 100
+    assert sizes[-1] <= max(60, 3 * len(rows) / parts)  # 51 rows have one key
+
+
+def test_ranges_follow_the_text(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "x" * 1000) for i in range(50)] + [(99, None)], "doc_id long, text string")
+    monkeypatch.setattr(winnow, "RANGE_BYTES", 1000)
+    assert winnow.ranges_for(df, "text", 4) == 50 and winnow.ranges_for(df, "text", 64) == 64
+    assert winnow.ranges_for(df.filter("false"), "text") == 1
+
+
 # Secrets
 
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
