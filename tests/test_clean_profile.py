@@ -1,5 +1,7 @@
 """Cleaning and profiling on a small credit file."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -99,14 +101,24 @@ def test_approx_agrees_on_small_data(spark):
     assert profile.box_stats(df, "x", "g", approx=True).first()["median"] == 50.0
 
 
-def test_pair_bins_both_ways_of_counting(spark, monkeypatch):
-    rows = [("ab"[i % 2], float(i % 17), float(i % 5), 3.0) for i in range(500)] + [("a", None, 1.0, 3.0)]
+def test_pair_bins_in_blocks_of_any_size(spark, monkeypatch):
+    """Counts equal brute force, with all hues at hand and with a block given out for each hue."""
+    rows = [("ab"[i % 2], float(i % 17), float(i % 5), 3.0) for i in range(500)] + [("a", None, 1.0, 3.0), (None, 2.0, 1.0, 3.0)]
     df = spark.createDataFrame(rows, "h string, x double, y double, z double")
     dense = profile.pair_bins(df, ["x", "y", "z"], "h", 4)
-    monkeypatch.setattr(profile, "DENSE_CELLS", 0)
-    direct = profile.pair_bins(df, ["x", "y", "z"], "h", 4)
-    assert dense.exceptAll(direct).count() == 0 and direct.exceptAll(dense).count() == 0
-    assert dense.filter("x_col = 'x' and y_col = 'x'").agg({"n": "sum"}).first()[0] == 500
+    most = {"x": 16, "y": 4, "z": 3}
+    low = {"x": 0, "y": 0, "z": 3}
+    expected = Counter()
+    for h, *values in rows:
+        if None in values:
+            continue
+        at = {c: 0 if low[c] == most[c] else min(3, int((v - low[c]) / ((most[c] - low[c]) / 4))) for c, v in zip("xyz", values)}
+        expected.update((h, a, b, at[a], at[b]) for i, a in enumerate("xyz") for b in "xyz"[i:])
+    told = lambda out: {(r["h"], r["x_col"], r["y_col"], r["x_bin"], r["y_bin"]): r["n"] for r in out.collect()}
+    assert told(dense) == dict(expected)
+    monkeypatch.setattr(profile, "CELLS_HELD", 1)
+    assert told(profile.pair_bins(df, ["x", "y", "z"], "h", 4)) == dict(expected)
+    assert dense.filter("x_col = 'x' and y_col = 'x'").agg({"n": "sum"}).first()[0] == 501
     assert {r["x_bin"] for r in dense.filter("x_col = 'z'").collect()} == {0}
 
 
