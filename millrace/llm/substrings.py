@@ -5,7 +5,7 @@ takes both into the set. So two equal runs of ``window`` words share an aligned
 words at a cover place of either document. Only anchors are hashed and grouped; where an anchor comes up twice, it is
 extended to the windows around it, and those are grouped by a 128-bit hash of all their words.
 
-Equal texts are one text in both steps. Anchors and windows that repeat within a task's batch are known there, so
+Equal texts are one text in both steps, known by a 128-bit hash (``c``, ``d``). Anchors and windows that repeat within a task's batch are known there, so
 that a batch sends one row for each of them however often it has it.
 """
 
@@ -25,6 +25,8 @@ from millrace.llm.arrow import lists, named, whole_row
 
 #: Consecutive words that count as a repeated passage.
 WINDOW = 35
+#: The hashes of a whole text.
+KEY = ["c", "d"]
 
 # Perfect difference sets, by period.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
@@ -65,14 +67,17 @@ def _known(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return known, spare
 
 
-def _rows(keys: list[np.ndarray], c: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """Rows to be grouped by their keys. Spare known rows get a key of their own: they spread over all tasks."""
+def _rows(keys: list[np.ndarray], c: np.ndarray, d: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """Rows to be grouped by their keys. Spare known rows get a key of their own: they spread over all tasks.
+
+    ``at`` is twice the place in the text, and one more where the key is known to repeat.
+    """
     known, spare = _known(*keys)
     own = W.mix(c.view(W.U64) + W.mix(pos.astype(W.U64)))
     keys = [np.where(spare, own ^ W.U64(i), k).view(np.int64) for i, k in enumerate(keys)]
     return pa.RecordBatch.from_arrays(
-        [*map(pa.array, keys), pa.array(c), pa.array(pos.astype(np.int32)), pa.array(known)],
-        names=[*(f"h{i}" for i in range(len(keys))), "c", "pos", "known"],
+        [*map(pa.array, keys), pa.array(c), pa.array(d), pa.array(2 * pos + known)],
+        names=[*(f"h{i}" for i in range(len(keys))), "c", "d", "at"],
     )
 
 
@@ -82,7 +87,7 @@ def _anchors(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = W.text_buffers(batch.column("text"))
-            c, got = batch.column("c").to_numpy(), []
+            c, d, got = batch.column("c").to_numpy(), batch.column("d").to_numpy(), []
             for low, high in W.groups(offsets):
                 parts = W.split_words(data, offsets[low : high + 1], W.NOT_SPACE, lower=False)
                 places, counts = W.gram_places(parts.first, window - period + 1)
@@ -91,10 +96,11 @@ def _anchors(window: int):
                 # A document shorter than the window has no window to share.
                 pick &= np.repeat(np.diff(parts.first) >= window, counts)
                 hashes = W.gram_hashes(parts.hashes, window - period + 1)[places[pick]]
-                got.append((hashes, np.repeat(c[low:high], counts)[pick], pos[pick]))
+                text = np.repeat(np.arange(low, high), counts)[pick]
+                got.append((hashes, c[text], d[text], pos[pick]))
             if got:
-                hashes, cs, pos = (np.concatenate(x) for x in zip(*got))
-                yield _rows([hashes], cs, pos)
+                hashes, *places = (np.concatenate(x) for x in zip(*got))
+                yield _rows([hashes], *places)
 
     return run
 
@@ -105,7 +111,7 @@ def _windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = W.text_buffers(batch.column("text"))
-            c, got = batch.column("c").to_numpy(), []
+            c, d, got = batch.column("c").to_numpy(), batch.column("d").to_numpy(), []
             hits = batch.column("hits")
             n_hits, hits = hits.value_lengths().to_numpy(), hits.flatten().to_numpy().astype(np.int64)
             begin = np.cumsum(n_hits) - n_hits
@@ -119,14 +125,14 @@ def _windows(window: int):
                 np.add.at(marks, parts.first[doc] + mine + 1, -1)
                 places, counts = W.gram_places(parts.first, window)
                 pick = np.cumsum(marks)[places] > 0
-                at = places[pick]
+                at, text = places[pick], np.repeat(np.arange(low, high), counts)[pick]
                 got.append((
                     W.gram_hashes(parts.hashes, window)[at], W.gram_hashes(_second(parts.hashes), window)[at],
-                    np.repeat(c[low:high], counts)[pick], at - np.repeat(parts.first[:-1], counts)[pick],
+                    c[text], d[text], at - parts.first[text - low],
                 ))
             if got:
-                one, two, cs, pos = (np.concatenate(x) for x in zip(*got))
-                yield _rows([one, two], cs, pos)
+                one, two, *places = (np.concatenate(x) for x in zip(*got))
+                yield _rows([one, two], *places)
 
     return run
 
@@ -134,7 +140,7 @@ def _windows(window: int):
 def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Places whose keys come up more than once, as a list for each text."""
     n = F.count("*").over(Window.partitionBy(*keys))
-    return rows.withColumn("n", n).filter("known OR n > 1").groupBy("c").agg(F.collect_list("pos").alias("hits"))
+    return rows.withColumn("n", n).filter("at & 1 = 1 OR n > 1").groupBy(*KEY).agg(F.collect_list(F.expr("int(at >> 1)")).alias("hits"))
 
 
 def _removal(window: int):
@@ -160,17 +166,18 @@ def _removal(window: int):
             start, end = np.concatenate(edges).astype(np.int64).T
             spans = pa.StructArray.from_arrays([pa.array(start), pa.array(end)], names=SPAN.names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("c"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                [batch.column("row"), *(batch.column(k) for k in KEY), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                  lists(spans, n_spans), pa.array(kept, pa.string())],
-                names=["row", "c", *RESULT.names],
+                names=["row", *KEY, *RESULT.names],
             )
 
     return run
 
 
-def content_key(text: Column) -> Column:
-    """Equal texts have equal keys; null is the empty text."""
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+def content_keys(text: Column) -> list[Column]:
+    """Equal texts have equal keys, two hashes of different seeds; null is the empty text."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return [F.xxhash64(text).alias(KEY[0]), F.xxhash64(F.lit(KEY[1]), text).alias(KEY[1])]
 
 
 def remove_repeats(docs: DataFrame, *, text: str = "text", window: int = WINDOW, keep=None) -> DataFrame:
@@ -189,16 +196,16 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", window: int = WINDOW,
         raise ValueError("window must be positive")
     # All readers take the same columns, so that one shuffle of the texts serves them.
     rows = docs.select(
-        whole_row(docs, keep).alias("row"), content_key(named(text)).alias("c"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text")
+        whole_row(docs, keep).alias("row"), *content_keys(named(text)), F.coalesce(named(text).cast("string"), F.lit("")).alias("text")
     )
-    texts = rows.groupBy("c").agg(F.first("text").alias("text"), F.first("row").alias("row"), F.count("*").alias("copies"))
-    anchors = texts.mapInArrow(_anchors(window), "h0 long, c long, pos int, known boolean")
+    texts = rows.groupBy(*KEY).agg(F.first("text").alias("text"), F.first("row").alias("row"), F.count("*").alias("copies"))
+    anchors = texts.mapInArrow(_anchors(window), "h0 long, c long, d long, at long")
     hits = _repeated(anchors, ["h0"])
-    windows = texts.join(hits, "c").mapInArrow(_windows(window), "h0 long, h1 long, c long, pos int, known boolean")
+    windows = texts.join(hits, KEY).mapInArrow(_windows(window), "h0 long, h1 long, c long, d long, at long")
     repeated = _repeated(windows, ["h0", "h1"])
-    schema = T.StructType([rows.schema["row"], T.StructField("c", T.LongType()), *RESULT])
-    single = texts.filter("copies = 1").join(repeated, "c", "left").mapInArrow(_removal(window), schema)
+    schema = T.StructType([rows.schema["row"], *[T.StructField(k, T.LongType()) for k in KEY], *RESULT])
+    single = texts.filter("copies = 1").join(repeated, KEY, "left").mapInArrow(_removal(window), schema)
     # A text with copies loses all its windows; what is left of it goes to each of its rows.
     several = texts.filter("copies > 1").withColumn("hits", F.lit(None).cast("array<int>")).mapInArrow(_removal(window), schema)
-    several = rows.select("row", "c").join(several.drop("row"), "c")
-    return single.unionByName(several).drop("c")
+    several = rows.select("row", *KEY).join(several.drop("row"), KEY)
+    return single.unionByName(several).drop(*KEY)

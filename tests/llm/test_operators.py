@@ -515,6 +515,25 @@ def test_substrings(spark, small, odd_rows, corpus, window):
     assert substrings.remove_repeats(small([]), window=window).count() == 0
 
 
+def test_substrings_query(spark, sf, corpus):
+    """The query's own columns, over the whole table."""
+    rows = {r.doc_id: r for r in queries.op9_substrings(spark, sf).collect()}
+    assert len(rows) == len(corpus)
+    for (doc_id, _), (n_words, n_removed, kept) in zip(corpus, brute_removal([t for _, t in corpus], 35)):
+        r = rows[doc_id]
+        assert (r.n_words, r.n_removed, r.kept_sha256) == (n_words, n_removed, hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_texts_of_one_hash_stay_apart(spark, monkeypatch):
+    """Different texts whose first hash is the same are different texts."""
+    one, two, three = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
+    docs = spark.createDataFrame([(1, one), (2, two), (3, three), (4, three)], "doc_id long, text string")
+    keys = substrings.content_keys
+    monkeypatch.setattr(substrings, "content_keys", lambda text: [F.lit(7).cast("long").alias("c"), keys(text)[1]])
+    found = {r["row"].doc_id: (r.n_removed, r.kept) for r in substrings.remove_repeats(docs).collect()}
+    assert found == {1: (0, one), 2: (0, two), 3: (50, ""), 4: (50, "")}
+
+
 def test_covers():
     for v, places in substrings.COVERS.items():
         assert all(any((p + s) % v in places and (q + s) % v in places for s in range(v)) for p in range(v) for q in range(v))
