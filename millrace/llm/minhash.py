@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import words as W
-from millrace.llm.arrow import lists, map_text, named
+from millrace.llm.arrow import lists, map_text, named, whole_row
 from millrace.llm.tables import connected_components, written
 
 #: Consecutive words in a shingle, and least Jaccard similarity of linked documents.
@@ -32,11 +32,16 @@ SHINGLE, THRESHOLD = 5, 0.8
 ROWS, MISS = 3, 1e-4
 #: 64-bit words in the bitmap of a set.
 BITMAP = 8
+#: Two hashes of a whole set: equal sets are one class.
+CONTENT = ["content", "content2"]
+
+SEEDS = (W.U64(0), W.U64(0x94D049BB133111EB))
 
 SIGNATURE = T.StructType(
     [
         T.StructField("n", T.LongType()),
         T.StructField("content", T.LongType()),
+        T.StructField("content2", T.LongType()),
         T.StructField("left", T.ArrayType(T.LongType())),
         T.StructField("right", T.ArrayType(T.LongType())),
         T.StructField("bits", T.ArrayType(T.LongType())),
@@ -82,16 +87,17 @@ def _signatures(k: int, m: int, rows: int, seed: int):
     shift = rng.integers(0, 1 << 63, 2 * m * rows, dtype=np.uint64)
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        n, content, keys = [np.empty(0, np.int64)], [np.empty(0, W.U64)], [np.empty((0, 2 * m), W.U64)]
+        n, content, keys = [np.empty(0, np.int64)], [np.empty((0, 2), W.U64)], [np.empty((0, 2 * m), W.U64)]
         bits = [np.empty((0, BITMAP), W.U64)]
         for _, _, values, counts in shingles(texts, k):
             values, counts = distinct_shingles(values, counts)
             full = np.flatnonzero(counts)
             begin = (np.cumsum(counts) - counts)[full]
-            own, mixed = np.zeros(len(counts), W.U64), np.zeros((len(counts), 2 * m), W.U64)
+            own, mixed = np.zeros((len(counts), 2), W.U64), np.zeros((len(counts), 2 * m), W.U64)
             flips = np.zeros((len(counts), BITMAP), W.U64)
             if len(full):
-                own[full] = W.mix(np.add.reduceat(W.mix(values), begin) + counts[full].astype(W.U64))
+                for i, seed in enumerate(SEEDS):
+                    own[full, i] = W.mix(np.add.reduceat(W.mix(values ^ seed), begin) + counts[full].astype(W.U64))
                 for h in range(2 * m * rows):
                     least = np.minimum.reduceat((values ^ shift[h]) * multiply[h], begin)
                     mixed[full, h // rows] = W.mix(mixed[full, h // rows] + least)
@@ -106,7 +112,8 @@ def _signatures(k: int, m: int, rows: int, seed: int):
         each = np.where(counts > 0, m, 0)
         left, right = both[counts > 0, :m].ravel(), both[counts > 0, m:].ravel()
         bitmaps = lists(pa.array(np.concatenate(bits).view(np.int64).ravel()), np.full(len(counts), BITMAP))
-        return [pa.array(counts), pa.array(np.concatenate(content).view(np.int64)),
+        own = np.concatenate(content).view(np.int64)
+        return [pa.array(counts), pa.array(own[:, 0]), pa.array(own[:, 1]),
                 lists(pa.array(left), each), lists(pa.array(right), each), bitmaps]
 
     return run
@@ -188,7 +195,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                     _signatures(shingle, m, rows, seed), ["node"])
     signed = written(made.select(F.col("row.node").alias("id"), "found.*"), "signatures")
     # Equal sets are one class, known by its smallest id.
-    classes = signed.filter("n > 0").groupBy("content").agg(
+    classes = signed.filter("n > 0").groupBy(*CONTENT).agg(
         F.min("id").alias("node"), *(F.first(c).alias(c) for c in ("n", "left", "right", "bits"))
     ).filter("node IS NOT NULL")
     tables = written(_tables(classes), "tables")
@@ -229,11 +236,30 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     of_class = (
-        classes.select("content", "node").join(component, "node", "left").join(ends, "node", "left")
-        .select("content", F.coalesce("component", "node").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        classes.select(*CONTENT, "node").join(component, "node", "left").join(ends, "node", "left")
+        .select(*CONTENT, F.coalesce("component", "node").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
     return (
-        signed.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("content")).alias("content"))
-        .join(of_class, "content", "left")
+        signed.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), *[F.when(F.col("n") > 0, F.col(c)).alias(c) for c in CONTENT])
+        .join(of_class, CONTENT, "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     )
+
+
+def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of docs with one row of each near-duplicate group: the smallest doc_id, null last.
+
+    Groups are judged by row, so rows that share an id or have none are compared by their texts like any others; of
+    several with the smallest id any one stays. Rows without words are in no group and stay. Columns are those of docs.
+    """
+    rows = written(docs.select(whole_row(docs).alias("row"), F.monotonically_increasing_id().alias("key")), "rows")
+    id_ = F.col("row").getField(doc_id)
+    texts = rows.select("key", F.col("row").getField(text).alias("text"))
+    grouped = near_duplicates(texts, doc_id="key", text="text", **options).filter("n_shingles > 0")
+    grouped = written(grouped.select(F.col("doc_id").alias("key"), "component_id"), "groups")
+    several = grouped.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
+    members = grouped.join(several, "component_id").join(rows.select("key", id_.alias("id")), "key")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"))
+    gone = members.join(first, "component_id").filter(F.col("key") != F.col("first.key")).select("key")
+    stay = rows.join(gone, "key", "left_anti")
+    return stay.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

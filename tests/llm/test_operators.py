@@ -427,6 +427,21 @@ def test_near_duplicates(spark, small, odd_rows, corpus, documents):
     assert minhash.near_duplicates(small([])).count() == 0
 
 
+def test_one_row_of_each_group(spark, small, odd_rows, corpus):
+    """Repeated ids and rows without an id are judged by their texts; smallest ids stay."""
+    kept = minhash.keep_one(small(odd_rows))
+    assert kept.columns == small([]).columns
+    expected = brute_components([r[:2] for r in odd_rows if r[0] is not None], 5, 80)
+    assert [r.doc_id for r in kept.orderBy("doc_id").collect()] == sorted(d for d, (_, top) in expected.items() if d == top)
+    prose, other = odd_rows[0][1], " ".join(f"other{i}" for i in range(40))
+    rows = [(None, prose, "en", "a"), (None, prose, "en", "a"), (5, other, "en", "a"), (5, prose, "en", "a"), (6, other, "en", "a"), (6, other, "de", "b")]
+    assert sorted((r.doc_id, r.text) for r in minhash.keep_one(small(rows)).collect()) == sorted([(5, prose), (5, other)])
+    assert [r.doc_id for r in minhash.keep_one(small(rows[:2])).collect()] == [None]
+    assert minhash.keep_one(small([])).count() == 0
+    kept = sorted(r.doc_id for r in minhash.keep_one(spark.createDataFrame(corpus, "doc_id long, text string")).collect())
+    assert kept == sorted(d for d, (_, top) in brute_components(corpus, 5, 80).items() if d == top)
+
+
 # Tokens
 
 
