@@ -19,12 +19,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group (five-word shingles, similarity 0.8).
+    """One row of each near-duplicate group (five-word shingles, similarity 0.8), that with the smallest id.
 
-    Rows of one id stay or go together. Documents without an id stay.
+    Groups are judged by row: rows that share an id, or have none, are compared by their texts.
     """
-    gone = minhash.near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(*docs.columns)
+    return minhash.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
