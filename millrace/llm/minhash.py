@@ -5,8 +5,8 @@ Two small collections of ``m`` half keys (each ``rows`` minhashes) are computed
 minhashes serve ``m * m`` tables of ``2 * rows`` minhashes. Half keys that no other document has are dropped before
 pairs are formed (their tables can't hold two documents), so most documents enter no table.
 
-Candidates are verified on the full shingle sets. In each table documents are first compared with its smallest
-one; then only documents that still lie in different components are compared with each other. So a table of copies
+Candidates are verified on the full shingle sets. In each table documents are first compared with the one that shares
+most tables with others, as an original does with its copies; then only documents that still lie in different components are compared with each other. So a table of copies
 yields as many pairs as documents, and no link between different groups is passed over. Pairs that can't reach the
 similarity are left out inside the join, by their set sizes and by bitmaps of the sets: each shingle flips one bit,
 so the bits in which two bitmaps differ are a lower bound of the shingles that only one of the sets has.
@@ -132,7 +132,7 @@ def _sets(k: int):
 
 
 def _tables(classes: DataFrame) -> DataFrame:
-    """(key, node, n): the tables that a node shares with others by both of its half keys."""
+    """(key, node, n, keys): the tables that a node shares with others by both of its half keys, and how many."""
     halves = classes.select(
         "node", "n",
         F.posexplode(F.concat("left", "right")).alias("i", "value"), F.size("left").alias("m"),
@@ -140,8 +140,9 @@ def _tables(classes: DataFrame) -> DataFrame:
     shared = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     pick = lambda side: F.collect_list(F.when(F.col("is_left") == side, F.col("half")))
     both = halves.join(shared, "half", "left_semi").groupBy("node", "n").agg(pick(True).alias("l"), pick(False).alias("r"))
-    return both.select("node", "n", "r", F.explode("l").alias("one")).select(
-        "node", "n", F.explode(F.transform("r", lambda x: F.xxhash64(F.col("one"), x))).alias("key")
+    keys = (F.size("l") * F.size("r")).alias("keys")
+    return both.select("node", "n", "r", keys, F.explode("l").alias("one")).select(
+        "node", "n", "keys", F.explode(F.transform("r", lambda x: F.xxhash64(F.col("one"), x))).alias("key")
     )
 
 
@@ -202,10 +203,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     bitmaps = classes.join(tables.select("node").distinct(), "node", "left_semi").select("node", "n", "bits")
     bitmaps = written(bitmaps, "bitmaps")
 
-    centre = tables.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("size")).filter("size > 1")
+    # The document that most tables know is the likeliest to be what the others are copies of.
+    centre = tables.groupBy("key").agg(F.min(F.struct((-F.col("keys")).alias("known"), "node", "n")).alias("c"), F.count("*").alias("size"))
     stars = (
-        tables.join(centre, "key").filter((F.col("node") > F.col("c.node")) & _could_link("n", "c.n", percent))
-        .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
+        tables.join(centre.filter("size > 1"), "key").filter((F.col("node") != F.col("c.node")) & _could_link("n", "c.n", percent))
+        .select(F.least("c.node", "node").alias("a"), F.greatest("c.node", "node").alias("b")).distinct()
     )
     one, two = bitmaps.toDF("a", "na", "bits_a"), bitmaps.toDF("b", "nb", "bits_b")
     stars = stars.join(one, "a").join(two, "b").filter(_near_enough("na", "bits_a", "nb", "bits_b", percent))
@@ -255,11 +257,9 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **o
     rows = written(docs.select(whole_row(docs).alias("row"), F.monotonically_increasing_id().alias("key")), "rows")
     id_ = F.col("row").getField(doc_id)
     texts = rows.select("key", F.col("row").getField(text).alias("text"))
-    grouped = near_duplicates(texts, doc_id="key", text="text", **options).filter("n_shingles > 0")
-    grouped = written(grouped.select(F.col("doc_id").alias("key"), "component_id"), "groups")
-    several = grouped.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
-    members = grouped.join(several, "component_id").join(rows.select("key", id_.alias("id")), "key")
-    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"))
-    gone = members.join(first, "component_id").filter(F.col("key") != F.col("first.key")).select("key")
-    stay = rows.join(gone, "key", "left_anti")
+    grouped = near_duplicates(texts, doc_id="key", text="text", **options).select(F.col("doc_id").alias("key"), "component_id")
+    # Groups meet only in a minimum that is combined before the shuffle; rows are told by their own keys.
+    grouped = grouped.join(rows.select("key", id_.alias("id")), "key")
+    first = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"))
+    stay = rows.join(first.select("first.key"), "key", "left_semi")
     return stay.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
