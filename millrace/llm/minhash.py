@@ -6,9 +6,9 @@ minhashes serve ``m * m`` tables of ``2 * rows`` minhashes. Half keys that no ot
 pairs are formed (their tables can't hold two documents), so most documents enter no table.
 
 Candidates are verified on the full shingle sets. In each table documents are first compared with the one that shares
-most tables with others, as an original does with its copies; then only documents that still lie in different components are compared with each other. So a table of copies
-yields as many pairs as documents, and no link between different groups is passed over. Pairs that can't reach the
-similarity are left out inside the join, by their set sizes and by bitmaps of the sets: each shingle flips one bit,
+most tables with others, as an original does with its copies; then only documents that still lie in different components
+are compared with each other. So a table of copies yields as many pairs as documents, and no link between different
+groups is passed over. Pairs that can't reach the similarity are left out inside the join, by their set sizes and by bitmaps of the sets: each shingle flips one bit,
 so the bits in which two bitmaps differ are a lower bound of the shingles that only one of the sets has.
 """
 
