@@ -23,7 +23,7 @@ from millrace.plans.data import (
 )
 from millrace.plans.registry import query, rounded
 from millrace.plans.splitting import SEED
-from millrace.session import dealt, persisted, scratch_path
+from millrace.session import dealt, partitions_for, persisted, scratch_path
 from millrace.sources import load_model, register, save_model, sql, table
 
 ALL_CATEGORIES_APART = 12  # depth that isolates 3 x 5 one-hot categories
@@ -328,7 +328,8 @@ STAGES = (1, 2, 10, 60)
 def gbt_staged(spark, sf):
     """Margins after several numbers of boosted trees, all from one fit: a step of each is a tenth of the mean gradient."""
     prepared = prepared_groups(spark, sf)
-    with persisted(prepared.coalesce(1)) as kept:
+    few = partitions_for(table(spark, sf, "orders"), fewest=1)  # a small table is one task's, as many trees mean many jobs
+    with persisted(prepared.coalesce(few)) as kept:
         model = models.fit_gbt(kept, n_estimators=STAGES[-1], max_depth=ALL_CATEGORIES_APART)
     margins = trees.staged_margins(model, prepared, STAGES, GROUP_COLUMNS).withColumn("margin", F.round("margin", 4))
     return margins.groupBy(*GROUP_COLUMNS, "n_trees", "margin").agg(F.count(F.lit(1)).alias("n"))

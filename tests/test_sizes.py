@@ -46,3 +46,17 @@ def test_training_rows_of_a_task(spark, grown):
 def test_small_tables_are_dealt_as_before(spark, sf):
     for rows in (data.order_rows(spark, sf), data.grouped_orders(spark, sf), modeling.prepared_orders(spark, sf)):
         assert rows.rdd.getNumPartitions() == session.FEWEST_PARTITIONS
+
+
+def test_staged_trees_use_more_tasks(spark, grown, monkeypatch):
+    """The longest ensemble is fitted on a table of many partitions where there are many rows."""
+    seen = {}
+
+    def fit(rows, **_):
+        seen["partitions"] = rows.rdd.getNumPartitions()
+        raise InterruptedError
+
+    monkeypatch.setattr(modeling.models, "fit_gbt", fit)
+    with pytest.raises(InterruptedError):
+        modeling.gbt_staged(spark, grown)
+    assert seen["partitions"] == 15
