@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import map_value
 from millrace.plans.registry import query
-from millrace.session import dealt, scratch_path
+from millrace.session import dealt, partitions_for, scratch_path
 from millrace.sources import class_names, list_files, preview_lines, read_csv, read_image_folder, table
 
 
@@ -58,12 +58,19 @@ def csv_sep_cast(spark, sf):
     return read_csv(spark, path, header=True, sep=";", cast_to=numbers)
 
 
+#: Files that one task writes, about: a small file costs its task some ten milliseconds.
+FILES_PER_TASK = 500
+
+
+def _dealt_vectors(spark, sf):
+    rows = table(spark, sf, "embeddings").select("vec_id", "label")
+    return dealt(rows, ["vec_id"], partitions_for(rows, FILES_PER_TASK))
+
+
 def _class_folders(spark, sf) -> str:
     """One small file per vector, below a folder per class."""
     path = scratch_path(spark, "classes")
-    rows = dealt(table(spark, sf, "embeddings").select("vec_id", "label"), ["vec_id"]).select(
-        F.col("vec_id").cast("string").alias("value"), F.col("label").alias("class")
-    )
+    rows = _dealt_vectors(spark, sf).select(F.col("vec_id").cast("string").alias("value"), F.col("label").alias("class"))
     rows.write.partitionBy("class").option("maxRecordsPerFile", 1).text(path)
     return path
 
@@ -113,7 +120,7 @@ def image_decoded(spark, sf):
     All bytes of these bitmaps are below 128 (54 of header and 48 of pixels at most), so the text sink can write them.
     """
     path = scratch_path(spark, "bitmaps")
-    rows = dealt(table(spark, sf, "embeddings").select("vec_id", "label"), ["vec_id"])
+    rows = _dealt_vectors(spark, sf)
     rows = rows.select(F.col("label").alias("class"), *[F.expr(e).cast("int").alias(c) for c, e in _BMP_SIZES.items()])
     number = lambda c: F.concat(F.char(c), F.lit("\0\0\0"))
     size = (4 * F.ceil(3 * F.col("width") / 4) * F.col("height")).cast("int")  # lines end at multiples of four bytes

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.plans import data, modeling
+from millrace.plans import data, files, modeling
 from millrace.session import dealt, partitions_for
 
 
@@ -48,6 +48,15 @@ def test_small_tables_are_dealt_as_before(spark, sf):
         assert rows.rdd.getNumPartitions() == session.FEWEST_PARTITIONS
 
 
+def test_class_files_of_a_task(spark, tmp_path):
+    """Small files are spread over tasks; one of each vector."""
+    spark.range(6000).select(F.col("id").alias("vec_id"), (F.col("id") % 3).cast("int").alias("label")).write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = files._dealt_vectors(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() == 12 and max(sizes(rows)) < 2 * files.FILES_PER_TASK
+    found = {r["folder"]: (r["n_files"], r["bytes"]) for r in files.list_files_query(spark, str(tmp_path)).collect()}
+    assert found == {f"class={k}": (2000, sum(len(str(i)) + 1 for i in range(k, 6000, 3))) for k in range(3)}
+
+
 def test_staged_trees_use_more_tasks(spark, grown, monkeypatch):
     """The longest ensemble is fitted on a table of many partitions where there are many rows."""
     seen = {}
