@@ -15,10 +15,11 @@ import types
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,8 +52,9 @@ LOWER_WORDS = [
     },
 ]
 #: A word that is its pieces: printable ASCII without apostrophes (contractions) and without "<|" (special tokens).
-PLAIN = re.compile(r"(?!.*<\|)[!-&(-~]+")
-PIECE = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+PLAIN = re.compile(rb"(?!.*<\|)[!-&(-~]+")
+#: Pieces of plain words in lower case, with a line end behind each word.
+PIECE = re.compile(r"[a-z]+|[0-9]|\n|[^a-z0-9\n]+")
 
 #: Characters of a text that ranges of documents are cut by where ids are alike.
 KEY_CHARS = 64
@@ -74,6 +76,25 @@ class _Slots(dict):
         return n
 
 
+class _Lists:
+    """Lists of ids, by number; the first ``empty`` ones have none."""
+
+    def __init__(self, empty: int):
+        self._ids, self._begin, self._count = np.empty(0, np.uint32), np.zeros(empty, np.int64), np.zeros(empty, np.int64)
+
+    def add(self, ids: np.ndarray, count: np.ndarray, begin: np.ndarray | None = None) -> None:
+        """More lists: all their ids, the number of each, and where each begins (one after another unless given)."""
+        begin = np.cumsum(count) - count if begin is None else begin
+        self._begin, self._count = np.concatenate([self._begin, len(self._ids) + begin]), np.concatenate([self._count, count])
+        self._ids = np.concatenate([self._ids, ids])
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some lists one after another, and the number of ids of each."""
+        count = self._count[numbers]
+        begin = self._begin[numbers] - np.cumsum(count) + count
+        return self._ids[np.arange(count.sum()) + np.repeat(begin, count)], count
+
+
 class Encoder:
     """Token ids of whole texts.
 
@@ -91,55 +112,57 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self._slots, self._known, self._known_pieces = _Slots(), 0, {}
-        self._ids, self._begin, self._count = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def _pieces(self, word: str) -> bytes:
-        """Ids of a word of printable ASCII without apostrophes: each run of letters, digit and run of other
-        characters is a piece of its own, whose bytes the model reads as they are, in lower case."""
-        ids = b""
-        for piece in PIECE.findall(word.lower()):
-            if piece not in self._known_pieces:
-                self._known_pieces[piece] = _packed(t.id for t in self._model.tokenize(piece))
-            ids += self._known_pieces[piece]
-        return ids
+        self._slots, self._words, self._known = _Slots({b"": 0}), _Lists(1), 1
+
+    def _plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of printable ASCII without apostrophes, and the number of ids of each: each run of letters,
+        digit and run of other characters is a piece of its own, whose bytes the model reads as they are, in lower case. Pieces are not kept."""
+        slots, parts = _Slots({"\n": 0}), _Lists(1)
+        pieces = PIECE.findall((b"\n".join(words) + b"\n").decode("ascii").lower())
+        slot = np.fromiter(map(slots.__getitem__, pieces), np.int64, len(pieces))
+        each = [[t.id for t in self._model.tokenize(p)] for p in islice(slots, 1, None)]
+        count = np.fromiter(map(len, each), np.int64, len(each))
+        parts.add(np.fromiter(chain.from_iterable(each), np.uint32, count.sum()), count)
+        ids, counts = parts.of(slot)
+        return ids, np.diff(np.cumsum(counts)[slot == 0], prepend=0)
 
     def _learn(self) -> None:
         """Encode the words that came new, plain ones by their pieces, the others by the whole tokenizer."""
-        words = [w.decode() for w in islice(self._slots, self._known, None)]
-        plain = [w.isascii() and PLAIN.fullmatch(w) is not None for w in words]
-        other = iter(self._whole([w for w, p in zip(words, plain) if not p]))
-        ids = [self._pieces(w) if p else next(other) for w, p in zip(words, plain)]
-        if words:
-            counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            begin = len(self._ids) + np.cumsum(counts) - counts
-            self._ids = np.concatenate([self._ids, np.frombuffer(b"".join(ids), np.uint32)])
-            self._begin, self._count = np.concatenate([self._begin, begin]), np.concatenate([self._count, counts])
-            self._known = len(self._slots)
+        words = list(islice(self._slots, self._known, None))
+        if not words:
+            return
+        plain = np.fromiter((PLAIN.fullmatch(w) is not None for w in words), bool, len(words))
+        ids, count = np.empty(0, np.uint32), np.empty(len(words), np.int64)
+        if plain.any():
+            ids, count[plain] = self._plain([w for w, p in zip(words, plain) if p])
+        other = list(self._whole([w.decode() for w, p in zip(words, plain) if not p]))
+        count[~plain] = [len(c) // 4 for c in other]
+        # Ids of the plain words come first, then those of the others.
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        begin = np.empty(len(words), np.int64)
+        begin[order] = np.cumsum(count[order]) - count[order]
+        self._words.add(np.concatenate([ids, np.frombuffer(b"".join(other), np.uint32)]), count, begin)
+        self._known = len(self._slots)
 
     def _whole(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), 1000):
             for coded in self._tokenizer.encode_batch_fast(texts[i : i + 1000], add_special_tokens=False):
                 yield _packed(coded.ids)
 
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id behind it, and the number of ids of each."""
         if not self._by_word:
-            coded = [ids + _packed([end_id]) for ids in self._whole([t.decode() for t in texts])]
+            coded = [ids + _packed([end_id]) for ids in self._whole(texts.to_pylist())]
             return np.frombuffer(b"".join(coded), np.uint32), np.array([len(c) // 4 for c in coded], np.int64)
         if len(self._slots) > self._kept:
             self._clear()
-        slot, n_words = [], np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            words = text.split()
-            n_words[i] = len(words)
-            slot += map(self._slots.__getitem__, words)
+        words = pc.ascii_split_whitespace(texts)  # blanks at the ends give empty words, which have no ids
+        coded = words.flatten().dictionary_encode()
+        once = coded.dictionary.cast(pa.binary()).to_pylist()
+        slot = np.fromiter(map(self._slots.__getitem__, once), np.int64, len(once))
         self._learn()
-        slot = np.array(slot, np.int64)
-        counts = self._count[slot]
-        total = np.concatenate(([0], np.cumsum(counts)))
-        ids = self._ids[np.arange(total[-1]) + np.repeat(self._begin[slot] - total[:-1], counts)]
-        ends = total[np.cumsum(n_words)]
+        ids, counts = self._words.of(slot[coded.indices.to_numpy()])
+        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(words.value_lengths().to_numpy())]
         return np.insert(ids, ends, end_id), np.diff(np.concatenate(([0], ends))) + 1
 
 
@@ -169,21 +192,19 @@ def _writer(tokenizer: str, end_id: int, shard_tokens: int):
 
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for low in range(0, len(ids), 1000):
-                some = [(t.as_py() or "").encode() for t in texts[low : low + 1000]]
-                first = 0
-                while first < len(some):  # at most a few MB of text at a time
-                    last, size = first, 0
-                    while last < len(some) and (last == first or size + len(some[last]) <= 4 << 20):
-                        size, last = size + len(some[last]), last + 1
-                    got, n = encoder.encode(some[first:last], end_id)
-                    doc_ids += ids[low + first : low + last]
-                    tokens.append(got)
-                    lengths.append(n)
-                    held, first = held + len(got), last
-                    if held >= shard_tokens:
-                        yield shard()
-                        held, number = 0, number + 1
+            sizes, first = pc.binary_length(texts).to_numpy(), 0
+            while first < len(ids):  # at most a few MB of text at a time
+                last, size = first, 0
+                while last < min(len(ids), first + 1000) and (last == first or size + sizes[last] <= 4 << 20):
+                    size, last = size + sizes[last], last + 1
+                got, n = encoder.encode(texts[first:last], end_id)
+                doc_ids += ids[first:last]
+                tokens.append(got)
+                lengths.append(n)
+                held, first = held + len(got), last
+                if held >= shard_tokens:
+                    yield shard()
+                    held, number = 0, number + 1
         if doc_ids:
             yield shard()
 

@@ -643,3 +643,23 @@ def test_pieces_of_long_texts(spark, documents):
     with pytest.raises(ValueError, match="languages"):
         langid.fit_languages(documents.withColumn("lang", F.col("doc_id").cast("string")).unionByName(
             spark.range(10_000, 10_900).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text"), F.col("id").cast("string").alias("lang")), allowMissingColumns=True))
+
+
+def test_encoder_by_words_equals_whole_texts():
+    """Words split and numbered in Arrow, learnt by their pieces in one go, have the ids of the whole texts; so they do
+    when the words kept are forgotten on the way."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    odd = ["", "  ", "don't <|x|> a<|b 1.2.3", " a\x0bb\x0cc\x1cd ", "\x01\x02 \x7f Größe ÀÉ a--b__C9", "<|endoftext|>", "Aa9! Aa9! aa9!"]
+    texts = odd + [f"word{i} Und{i % 7}, ({i})é\t" for i in range(300)] + odd
+    whole = Tokenizer.from_file(queries.tokenizer_path())
+    expected = [[*whole.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    for kept in (1_000_000, 50):
+        encoder, ids, lengths = tokens.Encoder(queries.tokenizer_path(), kept), [], []
+        for i in range(0, len(texts), 40):
+            got, n = encoder.encode(pa.array(texts[i : i + 40], pa.string()), 2)
+            ids += got.tolist()
+            lengths += n.tolist()
+        assert lengths == [len(e) for e in expected]
+        assert ids == [x for e in expected for x in e]
