@@ -32,8 +32,8 @@ from millrace.session import scratch_path
 END_ID = 2
 #: Tokens in a file, about; a longer document makes a longer file.
 SHARD_TOKENS = 1 << 21
-#: Words whose ids a Python worker keeps.
-KEPT_WORDS = 1_300_000
+#: Words whose ids a Python worker keeps, about; beyond it the less used ones are forgotten.
+KEPT_WORDS = 600_000
 
 # The steps before the model of a tokenizer that lower-cases and splits letters, digits and the rest.
 LOWER_WORDS = [
@@ -91,8 +91,11 @@ class _Lists:
     def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some lists one after another, and the number of ids of each."""
         count = self._count[numbers]
-        begin = self._begin[numbers] - np.cumsum(count) + count
-        return self._ids[np.arange(count.sum()) + np.repeat(begin, count)], count
+        n = int(count.sum())
+        small = np.int32 if max(n, len(self._ids)) < 1 << 31 else np.int64  # places, one for each id
+        place = np.repeat((self._begin[numbers] - np.cumsum(count) + count).astype(small), count)
+        place += np.arange(n, dtype=small)
+        return self._ids[place], count
 
 
 class Encoder:
@@ -109,10 +112,19 @@ class Encoder:
         self._model = self._tokenizer.model
         steps = json.loads(self._tokenizer.to_str())
         self._by_word = [steps["normalizer"], steps["pre_tokenizer"]] == LOWER_WORDS
-        self._clear()
-
-    def _clear(self) -> None:
         self._slots, self._words, self._known = _Slots({b"": 0}), _Lists(1), 1
+        self._used = np.ones(1, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the words that came up in several batches, at most half of KEPT_WORDS, and count again from there."""
+        used, most = self._used[1:], self._kept // 2
+        least = max(2, np.partition(used, -most)[-most] + 1) if len(used) > most else 2
+        stay = np.concatenate(([0], 1 + np.flatnonzero(used >= least)))
+        words = list(self._slots)
+        ids, count = self._words.of(stay)
+        self._slots, self._words, self._known = _Slots({words[i]: n for n, i in enumerate(stay.tolist())}), _Lists(0), len(stay)
+        self._words.add(ids, count)
+        self._used = self._used[stay] // 2 + 1
 
     def _plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of printable ASCII without apostrophes, and the number of ids of each: each run of letters,
@@ -155,12 +167,14 @@ class Encoder:
             coded = [ids + _packed([end_id]) for ids in self._whole(texts.to_pylist())]
             return np.frombuffer(b"".join(coded), np.uint32), np.array([len(c) // 4 for c in coded], np.int64)
         if len(self._slots) > self._kept:
-            self._clear()
+            self._forget()
         words = pc.ascii_split_whitespace(texts)  # blanks at the ends give empty words, which have no ids
         coded = words.flatten().dictionary_encode()
         once = coded.dictionary.cast(pa.binary()).to_pylist()
         slot = np.fromiter(map(self._slots.__getitem__, once), np.int64, len(once))
         self._learn()
+        self._used = np.append(self._used, np.zeros(self._known - len(self._used), np.int64))
+        self._used[slot] += 1
         ids, counts = self._words.of(slot[coded.indices.to_numpy()])
         ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(words.value_lengths().to_numpy())]
         return np.insert(ids, ends, end_id), np.diff(np.concatenate(([0], ends))) + 1
