@@ -28,6 +28,8 @@ SAMPLE = 20_000
 PAIRS_PER_ROW = 5
 #: Score at the learnt cut: documents from here on are predicted to be of label 1.
 CUT = 0.7
+#: Bytes of text whose features are taken at a time: working arrays are some 50 times as large.
+FEATURE_BYTES = 512 << 10
 #: Weight of the squared weights in the loss, per pair.
 PENALTY = 1e-4
 
@@ -80,7 +82,7 @@ def text_features(texts: pa.Array) -> np.ndarray:
     """A row of FEATURES for each text; all 0 for null and empty texts."""
     data, offsets = W.text_buffers(texts)
     out = [np.empty((0, len(FEATURES)))]
-    for low, high in W.groups(offsets):
+    for low, high in W.groups(offsets, FEATURE_BYTES):
         edges = offsets[low : high + 1]
         parts = W.split_words(data, edges, W.NOT_SPACE, lower=False)
         edges, n_words = edges - edges[0], np.diff(parts.first)

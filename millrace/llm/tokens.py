@@ -112,18 +112,17 @@ class Encoder:
         self._model = self._tokenizer.model
         steps = json.loads(self._tokenizer.to_str())
         self._by_word = [steps["normalizer"], steps["pre_tokenizer"]] == LOWER_WORDS
-        self._slots, self._words, self._known = _Slots({b"": 0}), _Lists(1), 1
-        self._used = np.ones(1, np.int64)
+        # Known words lie in one Arrow column, some 10 bytes each; a dictionary of them would take some 100.
+        self._known, self._ids, self._used = pa.array([""], pa.string()), _Lists(1), np.ones(1, np.int32)
 
     def _forget(self) -> None:
         """Keep the words that came up in several batches, at most half of KEPT_WORDS, and count again from there."""
         used, most = self._used[1:], self._kept // 2
         least = max(2, np.partition(used, -most)[-most] + 1) if len(used) > most else 2
         stay = np.concatenate(([0], 1 + np.flatnonzero(used >= least)))
-        words = list(self._slots)
-        ids, count = self._words.of(stay)
-        self._slots, self._words, self._known = _Slots({words[i]: n for n, i in enumerate(stay.tolist())}), _Lists(0), len(stay)
-        self._words.add(ids, count)
+        ids, count = self._ids.of(stay)
+        self._known, self._ids = self._known.take(pa.array(stay)), _Lists(0)
+        self._ids.add(ids, count)
         self._used = self._used[stay] // 2 + 1
 
     def _plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -138,11 +137,11 @@ class Encoder:
         ids, counts = parts.of(slot)
         return ids, np.diff(np.cumsum(counts)[slot == 0], prepend=0)
 
-    def _learn(self) -> None:
+    def _learn(self, new: pa.Array) -> None:
         """Encode the words that came new, plain ones by their pieces, the others by the whole tokenizer."""
-        words = list(islice(self._slots, self._known, None))
-        if not words:
+        if not len(new):
             return
+        words = new.cast(pa.binary()).to_pylist()
         plain = np.fromiter((PLAIN.fullmatch(w) is not None for w in words), bool, len(words))
         ids, count = np.empty(0, np.uint32), np.empty(len(words), np.int64)
         if plain.any():
@@ -153,8 +152,9 @@ class Encoder:
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
         begin = np.empty(len(words), np.int64)
         begin[order] = np.cumsum(count[order]) - count[order]
-        self._words.add(np.concatenate([ids, np.frombuffer(b"".join(other), np.uint32)]), count, begin)
-        self._known = len(self._slots)
+        self._ids.add(np.concatenate([ids, np.frombuffer(b"".join(other), np.uint32)]), count, begin)
+        self._known = pa.concat_arrays([self._known, new])
+        self._used = np.append(self._used, np.zeros(len(new), np.int32))
 
     def _whole(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), 1000):
@@ -166,16 +166,18 @@ class Encoder:
         if not self._by_word:
             coded = [ids + _packed([end_id]) for ids in self._whole(texts.to_pylist())]
             return np.frombuffer(b"".join(coded), np.uint32), np.array([len(c) // 4 for c in coded], np.int64)
-        if len(self._slots) > self._kept:
+        if len(self._known) > self._kept:
             self._forget()
         words = pc.ascii_split_whitespace(texts)  # blanks at the ends give empty words, which have no ids
         coded = words.flatten().dictionary_encode()
-        once = coded.dictionary.cast(pa.binary()).to_pylist()
-        slot = np.fromiter(map(self._slots.__getitem__, once), np.int64, len(once))
-        self._learn()
-        self._used = np.append(self._used, np.zeros(self._known - len(self._used), np.int64))
+        once, first = coded.dictionary.cast(pa.string()), len(self._known)
+        slot = pc.index_in(once, value_set=self._known)
+        new = slot.is_null()
+        self._learn(once.filter(new))
+        slot, new = slot.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), new.to_numpy(zero_copy_only=False)
+        slot[new] = np.arange(first, len(self._known))
         self._used[slot] += 1
-        ids, counts = self._words.of(slot[coded.indices.to_numpy()])
+        ids, counts = self._ids.of(slot[coded.indices.to_numpy()])
         ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(words.value_lengths().to_numpy())]
         return np.insert(ids, ends, end_id), np.diff(np.concatenate(([0], ends))) + 1
 

@@ -663,3 +663,19 @@ def test_encoder_by_words_equals_whole_texts():
             lengths += n.tolist()
         assert lengths == [len(e) for e in expected]
         assert ids == [x for e in expected for x in e]
+
+
+def test_encoder_keeps_words_in_few_bytes():
+    """A known word takes its bytes, its ids and some numbers, not Python objects of its own."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    encoder, n = tokens.Encoder(queries.tokenizer_path()), 60_000
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    for i in range(0, n, 5000):
+        encoder.encode(pa.array([" ".join(f"x{j}" for j in range(i, i + 5000))], pa.string()), 2)
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    tracemalloc.stop()
+    assert held < 100 * n

@@ -30,3 +30,18 @@ def test_drawn_shares_meet_targets(spark):
         share = r / sum(raised.values())
         assert abs(drawn.count(source) / len(drawn) - share) < 0.05 * share
     assert abs(len(drawn) / 4000 - mixing.BUDGET) < 0.02
+
+
+def test_stages_use_small_batches(spark, sf):
+    """Arrow batches of a stage's tasks, which executors hold in several copies, have 1000 rows at most."""
+    docs = spark.range(5000).selectExpr("id AS doc_id", "'some words of text' AS text", "'en' AS lang", "'a' AS source")
+    names, seen = list(corpus_pipeline.BATCHES), {}
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "near_dedup":  # dozens of jobs, which test_stages runs
+            continue
+        for key in names:
+            spark.conf.unset(key)
+        stage(spark, docs, sf)
+        rows = spark.range(0, 5000, 1, 1).mapInArrow(lambda batches: (b.slice(0, 0).from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+        seen[name] = max(r.n for r in rows.collect())
+    assert set(seen.values()) == {1000}
