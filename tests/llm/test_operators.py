@@ -1,6 +1,7 @@
 """The operators against brute force, on odd rows, on empty tables and on the smallest tables."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -79,6 +80,43 @@ def test_copies_of_lines_take_part_once(spark, tmp_path):
     assert all(df.count() <= 2002 for name, df in kinds)
 
 
+def test_only_similar_long_lines_fetch_texts(spark):
+    """Long lines that share rare words, but are not similar, are told apart before any text is read again for them."""
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(600)]
+    texts = [" ".join(draw.sample(words, 150)) for _ in range(40)]
+    texts.append(texts[7] + " more")
+    kinds = []
+    original = lines.written
+    lines.written = lambda df, name: kinds.append((name, original(df, name))) or kinds[-1][1]
+    try:
+        removed = {(r.doc, r.line) for r in lines.repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    finally:
+        lines.written = original
+    assert removed == {(40, 0)}
+    assert sum(df.count() for name, df in kinds if name == "sets") == 2
+
+
+def test_marked_rows(spark):
+    rows = spark.range(20000).select(F.col("id").alias("doc"), F.lit("x").alias("version"))
+    found = lines._marked(rows, rows.filter("doc % 100 = 0").union(rows.limit(0)), ["doc", "version"]).filter("marked")
+    assert found.filter("doc % 100 = 0").count() == 200 and found.count() < 210
+    assert lines._marked(rows, rows.limit(0), ["doc", "version"]).filter("marked").count() == 0
+
+
+def test_large_groups_of_near_copies(spark):
+    """Near copies of more lines than HOT are compared with the earliest; the result is that of all pairs."""
+    draw = random.Random(5)
+    base = [f"b{i}" for i in range(20)]
+    rows = [(d, " ".join([*base[: draw.randint(17, 20)], *[f"x{draw.randint(0, 30)}" for _ in range(draw.randint(0, 4))]])) for d in range(60)]
+    hot, lines.HOT = lines.HOT, 5
+    try:
+        found = {tuple(r) for r in lines.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        lines.HOT = hot
+    assert found == line_removals(rows) and len(found) > 20
+
+
 def test_rows_of_one_id_are_judged_apart(spark):
     docs = spark.createDataFrame([(1, "a b c"), (3, "a b c"), (3, "quite other words here"), (3, "quite other words here"), (None, "a b c")], "doc_id long, text string")
     kept = sorted((r["row"]["doc_id"] or 0, r.kept) for r in lines.dedup_lines(docs).collect())
