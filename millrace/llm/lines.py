@@ -157,7 +157,7 @@ def _line_classes(texts: DataFrame, ranks: Column, percent: int) -> DataFrame:
     half = F.when(n > LONG, F.aggregate(F.filter(hashes, lambda h: h.bitwiseAND(F.lit(64)) == 0), F.lit(0).cast("bigint"), flip)).otherwise(0)
     turned = F.transform(hashes, lambda h: F.shiftleft(h, 32))
     lines = lines.select(
-        *LINE, F.xxhash64(codes).alias("k1"), F.xxhash64(F.lit("set"), codes).alias("k2"), n.alias("n"),
+        *LINE, F.xxhash64(codes).alias("k1"), F.xxhash64(F.sort_array(hashes)).alias("k2"), n.alias("n"),
         F.aggregate(hashes, F.lit(0).cast("bigint"), flip).alias("bits"), half.alias("half"),
         F.array(F.array_min(hashes), F.array_max(hashes), F.array_min(turned)).alias("ends"),
         # 32 bits of a prefix word will do: what meets by chance is filtered and verified.
