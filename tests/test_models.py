@@ -1,6 +1,8 @@
 """Fitting, scoring, model tables, tuning, run tables."""
 
+import gc
 import time
+import weakref
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import positive_score
 from millrace.operators import evaluate, features, models, runs, split, trees, tune
+from millrace.plans import tuning
 from millrace.plans.modeling import prepared_groups
 from millrace.session import scratch_path
 from millrace.sources import load_model, save_model, table
@@ -290,6 +293,45 @@ def test_sampled_search_with_runs(planted, spark):
     assert evaluate.roc_auc(pred).first()[0] == pytest.approx(found.best_auc)
 
 
+def test_registered_search_is_the_published_one(spark, sf, monkeypatch):
+    """All 32 trials over the published ranges; here each asked-for model is recorded and a stump is fitted in its place."""
+    asked = []
+
+    def stump(**params):
+        asked.append(params)
+        return gbt(n_estimators=1, max_depth=1)
+
+    gbt = models.gbt
+    monkeypatch.setattr(models, "gbt", stump)
+    found = tuning.sampled_search(spark, sf).collect()
+    assert sorted(r["trial"] for r in found) == list(range(32))
+    sizes = [r["n_estimators"] for r in found]
+    assert 20 <= min(sizes) < 60 and 940 < max(sizes) <= 1000
+    assert {r["max_depth"] for r in found} == {2.0, 3.0, 4.0, 5.0}
+    assert 0.049 < min(r["learning_rate"] for r in found) < 0.1 < 0.7 < max(r["learning_rate"] for r in found) <= 1.0
+    assert {p["n_estimators"] for p in asked} == {int(n) for n in sizes} and {p["max_depth"] for p in asked} == {2, 3, 4, 5}
+
+
+def test_search_holds_the_best_model_only(planted, monkeypatch):
+    _, train, test = planted
+    alive, most = weakref.WeakSet(), []
+    fit = tune.GBTClassifier.fit
+
+    def counted(self, *args):
+        model = fit(self, *args)
+        alive.add(model)
+        gc.collect()
+        most.append(len(alive))
+        return model
+
+    monkeypatch.setattr(tune.GBTClassifier, "fit", counted)
+    found = tune.sampled_search(models.gbt, SPACE, train, test, 6, 1, 5)
+    assert len(most) == 6 and max(most) <= 3  # the best, the one just scored, and the one just fitted
+    assert found.best_auc == found.table.agg(F.max("auc")).first()[0]
+    pred = models.predict(found.best_model, test).withColumn("score", positive_score())
+    assert evaluate.roc_auc(pred).first()[0] == pytest.approx(found.best_auc)
+
+
 # ---- run and model tables ----------------------------------------------------------------------
 
 
